@@ -6,23 +6,52 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import dedup
+from lodestrata.llm import archives, dedup, oracles, rules, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sorted_digest_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    return urls.judge(_read(spark, sf_dir, "pages"))
+
+
+def op3_threshold_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of the threshold table for every document."""
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return rules.judge(_read(spark, sf_dir, "documents")).select(columns)
+
+
+def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the archives."""
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return archives.archive(_read(spark, sf_dir, "pages")).select(columns)
+
+
 def op9_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return dedup.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+QUERIES = (
+    op2_sorted_digest_url_filter,
+    op3_threshold_quality_rules,
+    op4_arc_to_warc,
+    op9_minmax_near_dedup,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query for each operator."""
-    return {f.__name__: f for f in (op9_minmax_near_dedup,)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {}
+    return {
+        "op2_sorted_digest_url_filter": oracles.url_filter(),
+        "op3_threshold_quality_rules": oracles.quality_rules(),
+        "op4_arc_to_warc": oracles.archives(),
+    }
