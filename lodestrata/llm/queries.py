@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import archives, dedup, oracles, rules, urls
+from lodestrata.llm import archives, dedup, mixing, oracles, rules, secrets, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,16 @@ def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.archive(_read(spark, sf_dir, "pages")).select(columns)
 
 
+def op5_entropy_balanced_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    return mixing.mix(_read(spark, sf_dir, "documents"))
+
+
+def op6_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by way of a ledger that starts empty."""
+    return secrets.document_findings(_read(spark, sf_dir, "documents"))
+
+
 def op9_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return dedup.near_duplicates(_read(spark, sf_dir, "documents"))
@@ -39,6 +49,8 @@ QUERIES = (
     op2_sorted_digest_url_filter,
     op3_threshold_quality_rules,
     op4_arc_to_warc,
+    op5_entropy_balanced_mix,
+    op6_blob_ledger_secrets,
     op9_minmax_near_dedup,
 )
 
