@@ -171,17 +171,28 @@ def block_links(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], perc
 
 def near_links(sketch: DataFrame, docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(classes, labels): (fp, id) of each distinct set, and (id, label) of those linked with another."""
-    classes = _scratch.table(sketch.filter("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id")), "classes")
-    seats = sketch.select("fp", F.col("doc_id").alias("id"), "keys").join(classes, ["fp", "id"], "left_semi")
+    own = sketch.filter("fp is not null and doc_id is not null")
+    classes = _scratch.table(own.groupBy("fp").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("runs")), "classes")
+    seats = sketch.select("fp", F.col("doc_id").alias("id"), "keys").join(classes.select("fp", "id"), ["fp", "id"], "left_semi")
     seats = seats.select("id", F.explode("keys").alias("bucket")).distinct()
-    shape = F.sum(F.xxhash64("id").cast("decimal(38,0)"))
-    buckets = seats.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"), shape.alias("shape")).filter("n > 1")
-    buckets = _scratch.table(buckets.groupBy("n", "low", "high", "shape").agg(F.min("bucket").alias("bucket")), "buckets")
+    buckets = seats.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).filter("n > 1")
     seats = _scratch.table(seats.join(buckets, "bucket"), "seats")
+    # Of the buckets with the same members one is enough.
+    shape = seats.groupBy("bucket", "n", "low", "high").agg(F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("shape"))
+    seats = seats.join(shape.groupBy("n", "low", "high", "shape").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket", "left_semi")
+    seats = _scratch.table(seats, "seats")
     hubs = F.explode(F.array("low", "high"))
     pairs = seats.select("id", hubs.alias("hub")).filter("id != hub").select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
-    met = seats.select(F.col("id").alias("doc_id")).distinct()
-    sets = _scratch.table(full_sets(docs.select("doc_id", "text").join(met, "doc_id", "left_semi"), n), "sets").dropDuplicates(["id"])
+    runs = classes.groupBy("id").agg(F.min("runs").alias("few"), F.max("runs").alias("many"))
+    for side in "ab":
+        pairs = pairs.join(runs.select(F.col("id").alias(side), F.col("few").alias(f"few_{side}"), F.col("many").alias(f"many_{side}")), side)
+    pairs = pairs.filter((100 * F.col("many_a") >= percent * F.col("few_b")) & (100 * F.col("many_b") >= percent * F.col("few_a")))
+    pairs = _scratch.table(pairs.select("a", "b"), "pairs")
+    met = seats.filter("n > 3").select("id").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    texts = docs.select("doc_id", "text").join(met.select(F.col("id").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    sets = _scratch.table(full_sets(texts, n), "sets")
+    if not own.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        sets = sets.dropDuplicates()
     links = _scratch.table(_confirmed(pairs, sets, percent), "confirmed")
     labels = components(links)
 
