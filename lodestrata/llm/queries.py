@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import archives, dedup, mixing, oracles, rules, secrets, urls
+from lodestrata.llm import archives, dedup, importance, mixing, oracles, packing, rules, secrets, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance weight, perturbed key and whether the sample takes it."""
+    return importance.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op2_sorted_digest_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's url."""
     return urls.judge(_read(spark, sf_dir, "pages"))
@@ -40,17 +45,24 @@ def op6_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.document_findings(_read(spark, sf_dir, "documents"))
 
 
+def op7_nnls_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 2048 tokens."""
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
 def op9_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return dedup.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
 QUERIES = (
+    op1_importance_resampling,
     op2_sorted_digest_url_filter,
     op3_threshold_quality_rules,
     op4_arc_to_warc,
     op5_entropy_balanced_mix,
     op6_blob_ledger_secrets,
+    op7_nnls_pattern_packing,
     op9_minmax_near_dedup,
 )
 
