@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import archives, dedup, importance, mixing, oracles, packing, rules, secrets, urls
+from lodestrata.llm import archives, dedup, importance, mixing, neighbours, oracles, packing, rules, secrets, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,12 @@ def op7_nnls_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op8_adaptive_scan_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose vec_id is divisible by 20."""
+    vectors = _read(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op9_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return dedup.near_duplicates(_read(spark, sf_dir, "documents"))
@@ -63,6 +69,7 @@ QUERIES = (
     op5_entropy_balanced_mix,
     op6_blob_ledger_secrets,
     op7_nnls_pattern_packing,
+    op8_adaptive_scan_neighbours,
     op9_minmax_near_dedup,
 )
 
