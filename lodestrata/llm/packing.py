@@ -43,9 +43,9 @@ SALTS = 1024
 SLACK = 0
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids, 4 bytes each) of every piece of every row."""
-    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+    """doc_id, piece, start, length and ids_crc32 of every piece of every row."""
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,10 +60,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, ids: bool = Fal
                     pa.array(number.astype(np.int64) * capacity),
                     pa.array([len(b) // 4 for b in blobs], pa.int64()),
                     pa.array([zlib.crc32(b) for b in blobs], pa.int64()),
-                ] + [pa.array(blobs, pa.binary())] * ids
+                ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
