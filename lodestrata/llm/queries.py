@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import archives, dedup, importance, mixing, neighbours, oracles, packing, rules, secrets, urls
+from lodestrata.llm import archives, dedup, importance, materialise, mixing, neighbours, oracles, packing, rules, secrets, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,11 @@ def op9_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op10_feistel_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence's slot in the training order, read back from the shards."""
+    return materialise.order(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = (
     op1_importance_resampling,
     op2_sorted_digest_url_filter,
@@ -71,6 +76,7 @@ QUERIES = (
     op7_nnls_pattern_packing,
     op8_adaptive_scan_neighbours,
     op9_minmax_near_dedup,
+    op10_feistel_training_order,
 )
 
 
