@@ -1 +1 @@
-
+"""Structured Streaming: documents as they arrive."""
