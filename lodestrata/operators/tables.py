@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lodestrata.functions import keys, names, numbers, text, units, vocab
+from lodestrata.functions.binding import let
 
 TABLE = ["paper_key", "slug", "table_pos", "table_id"]
 VALUE = "struct<value:double,temperature_c:double,marker:string,note:string>"
@@ -14,26 +15,33 @@ VALUE = "struct<value:double,temperature_c:double,marker:string,note:string>"
 
 def read_value(cell: Column, profile: Column) -> Column:
     """struct(value, temperature_c, marker, note) of a property cell: only markers that the legend defines are stripped."""
-    raw = F.trim(cell["text"])
-    defs = F.filter(F.coalesce(profile["footnote_markers"], F.array().cast("array<struct<marker:string,meaning:string,temperature_C:double,note:string>>")), lambda m: F.coalesce(m["marker"], F.lit("")) != "")
-    defined = F.transform(defs, lambda m: m["marker"])
-    raised = F.try_element_at(F.filter(cell["markers"], lambda m: F.array_contains(defined, m)), F.lit(1))
-    leading = F.try_element_at(F.filter(defined, lambda m: raw.startswith(m) & (F.length(m) <= 2)), F.lit(1))
-    marker = F.coalesce(raised, leading, F.lit(""))
-    behind = F.substring(raw, F.lit(1), F.greatest(F.length(raw) - F.length(marker), F.lit(0)))
-    bare = F.when((marker != "") & raw.startswith(marker), F.substring(raw, F.length(marker) + 1, F.length(raw))).when((marker != "") & raw.endswith(marker) & numbers.number(behind).isNotNull(), behind).otherwise(raw)
-    value = numbers.number(bare)
-    missing = raw.isin(*vocab.DASHES) | F.coalesce(F.array_contains(profile["missing_value_tokens"], raw), F.lit(False))
-    spec = F.try_element_at(F.filter(defs, lambda m: (m["marker"] == marker) & (m["meaning"] == "temperature")), F.lit(1))
-    degrees = F.bround(F.coalesce(spec["temperature_C"], profile["default_temperature_C"], F.lit(vocab.DEFAULT_TEMPERATURE)), 3)
     none = F.lit(None).cast("double")
-    note = F.when(raw.rlike(r"\d"), F.lit("unparseable")).otherwise(F.lit("no numeric value"))
-    return (
-        F.when(missing, F.struct(none.alias("value"), none.alias("temperature_c"), F.lit("").alias("marker"), F.lit("not reported").alias("note")))
-        .when(value.isNull(), F.struct(none.alias("value"), none.alias("temperature_c"), marker.alias("marker"), note.alias("note")))
-        .otherwise(F.struct(value.alias("value"), degrees.alias("temperature_c"), marker.alias("marker"), F.lit("").alias("note")))
-        .cast(VALUE)
-    )
+    empty = F.array().cast("array<struct<marker:string,meaning:string,temperature_C:double,note:string>>")
+    defs = F.filter(F.coalesce(profile["footnote_markers"], empty), lambda m: F.coalesce(m["marker"], F.lit("")) != "")
+    found = F.struct(F.trim(cell["text"]).alias("raw"), cell["markers"].alias("markers"), defs.alias("defs"))
+
+    def mark(x: Column) -> Column:
+        defined = F.transform(x["defs"], lambda m: m["marker"])
+        raised = F.try_element_at(F.filter(x["markers"], lambda m: F.array_contains(defined, m)), F.lit(1))
+        leading = F.try_element_at(F.filter(defined, lambda m: x["raw"].startswith(m) & (F.length(m) <= 2)), F.lit(1))
+        return let(F.coalesce(raised, leading, F.lit("")), lambda marker: strip(x, marker))
+
+    def strip(x: Column, marker: Column) -> Column:
+        raw = x["raw"]
+        behind = F.substring(raw, F.lit(1), F.greatest(F.length(raw) - F.length(marker), F.lit(0)))
+        bare = F.when(raw.startswith(marker), F.substring(raw, F.length(marker) + 1, F.length(raw))).when(raw.endswith(marker), F.when(numbers.number(behind).isNotNull(), behind).otherwise(raw)).otherwise(raw)
+        return let(numbers.number(bare), lambda value: judged(x, marker, value))
+
+    def judged(x: Column, marker: Column, value: Column) -> Column:
+        raw = x["raw"]
+        missing = raw.isin(*vocab.DASHES) | F.coalesce(F.array_contains(profile["missing_value_tokens"], raw), F.lit(False))
+        spec = F.try_element_at(F.filter(x["defs"], lambda m: (m["marker"] == marker) & (m["meaning"] == "temperature")), F.lit(1))
+        degrees = F.bround(F.coalesce(spec["temperature_C"], profile["default_temperature_C"], F.lit(vocab.DEFAULT_TEMPERATURE)), 3)
+        note = F.when(missing, "not reported").when(value.isNotNull(), "").when(raw.rlike(r"\d"), "unparseable").otherwise("no numeric value")
+        good = ~missing & value.isNotNull()
+        return F.struct(F.when(good, value).otherwise(none).alias("value"), F.when(good, degrees).otherwise(none).alias("temperature_c"), F.when(missing, "").otherwise(marker).alias("marker"), note.alias("note"))
+
+    return let(found, mark).cast(VALUE)
 
 
 def parse_ratio(raw: Column, markers: Column) -> Column:

@@ -10,9 +10,10 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 def spark():
     session = (
         SparkSession.builder.master("local[*]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 
 
@@ -69,10 +68,6 @@ PROFILE = {
 }
 
 
-def prose_response(**changes) -> str:
+def prose_response(*changes: dict) -> str:
     item = {"components": ["Choline chloride", "Urea"], "molar_ratio": "1:2", "property": "Density", "value": 1.25, "unit": "g/cm3", "temperature_C": 25.0, "ref_numbers": "1", "source_text": "ChCl:Urea (1:2, 25 °C) has a density of 1.25 g/cm3 [1]"}
-    return json.dumps({"measurements": [item | changes]})
-
-
-def short(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()[:16]
+    return json.dumps({"measurements": [item | c for c in changes or ({},)]})
