@@ -2,12 +2,15 @@
 
 That tokenizer drops white space and never joins what stands on its two sides, so a text's ids are those of its
 pieces between ASCII white space. Each worker keeps the ids of pieces it has met (at most ``CACHE`` of them), and
-hands only new ones to the tokenizer.
+merges only new ones.
 """
 
 from __future__ import annotations
 
+import unicodedata
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,95 +21,104 @@ from lodestrata.llm import _bytes
 
 VOCABULARY = "word_bpe_49k.json"
 END = 0
-CACHE = 600_000
+CACHE = 250_000
 LONG = 256
-_ENDINGS = b".,;:!?"
+_ENDINGS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and c != 39)
+#: Letters whose lower case depends on their place, or isn't one letter.
+_ODD = frozenset("İΣ")
+#: How the vocabulary writes bytes: printable ones of Latin-1 as they are, the others from 256 on.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_WRITTEN = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
 _OWN: dict[str, "PieceIds"] = {}
 
 
 class PieceIds:
     """Ids of pieces without ASCII white space."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = CACHE):
         self.tokenizer = Tokenizer.from_file(path)
-        size = self.tokenizer.get_vocab_size()
-        names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
-        self.ends = np.array([n.endswith("</w>") for n in names])
-        self.clear()
+        self.merge = self.tokenizer.model.tokenize
+        self.most = most
+        self.tails: dict[bytes, list[int]] = {}
+        self._start()
 
-    def clear(self) -> None:
+    def _start(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 20, np.int32)
-        self.bounds = np.zeros(CACHE + 1, np.int64)
-        self.used = 0
-
-    def _plain(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words of letters only: each ends with its one token that ends a word."""
-        out = []
-        for at in range(0, len(words), 1000):
-            some = words[at : at + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int32)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            out += np.split(ids, cuts[:-1]) if len(cuts) == len(some) else self._any(some)
-        return out
-
-    def _any(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def encode(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of each piece; endings after a letter or digit are tokens of their own."""
-        cores: dict[bytes, int] = {}
-        split = []
-        for piece in pieces:
-            core = piece.rstrip(_ENDINGS)
-            if not core or b"'" in piece or not (core[-1:].isalnum() and core[-1] < 128):
-                core = piece
-            tail = piece[len(core) :]
-            core = core.lower()
-            split.append((cores.setdefault(core, len(cores)), cores.setdefault(tail, len(cores)) if tail else -1))
-        found: dict[int, np.ndarray] = {}
-        plain, rest = [], []
-        for core, i in cores.items():
-            k = self.known.get(core)
-            if k is not None:
-                found[i] = self.flat[self.bounds[k] : self.bounds[k + 1]]
-                continue
+        self.flat = array("i")
+        self.bounds = array("q", [0])
+        self.hits = np.zeros(self.most + 1, np.int32)
+
+    def _core(self, core: bytes) -> list[int]:
+        """Ids of a piece: a word of letters only goes to the merges at once, as the bytes that they are written for."""
+        k = self.known.get(core)
+        if k is not None:
+            return self.flat[self.bounds[k] : self.bounds[k + 1]].tolist()
+        if len(core) < LONG:
+            if core.isalpha():
+                return [t.id for t in self.merge(core.lower().decode())]
             text = core.decode("utf-8", "replace")
-            (plain if text.isalpha() and "İ" not in text else rest).append((i, text))
-        found |= dict(zip((i for i, _ in plain), self._plain([t for _, t in plain])))
-        found |= dict(zip((i for i, _ in rest), self._any([t for _, t in rest])))
-        return [found[a] if b < 0 else np.concatenate((found[a], found[b])) for a, b in split]
-
-    def _add(self, pieces: list[bytes]) -> None:
-        pieces.sort(key=len)  # a piece's core is met before the piece
-        for piece, ids in zip(pieces, self.encode(pieces)):
-            k = len(self.known)
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros(max(len(self.flat), len(ids)), np.int32)))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.bounds[k + 1] = self.used
-            self.known[piece] = k
+            if text.isalpha() and not _ODD & set(text) and unicodedata.is_normalized("NFC", text):
+                return [t.id for t in self.merge(text.lower().encode().decode("latin-1").translate(_WRITTEN))]
+        return self.tokenizer.encode(core.decode("utf-8", "replace"), add_special_tokens=False).ids
+
+    def encode(self, piece: bytes) -> list[int]:
+        """Ids of a piece: endings behind a letter or digit are tokens of their own."""
+        core = piece.rstrip(_ENDINGS)
+        if core and len(core) < len(piece) and core[-1] < 128 and core[-1:].isalnum() and b"'" not in piece and b"<|" not in piece:
+            tail = piece[len(core) :]
+            if tail not in self.tails:
+                self.tails[tail] = self._core(tail)
+            return self._core(core) + self.tails[tail]
+        return self._core(piece)
+
+    def _room(self, n: int) -> None:
+        """Makes room for n pieces: those met in most slices stay, half of the cache at most."""
+        order = np.argsort(-self.hits[: len(self.known)], kind="stable")[: self.most // 2]
+        keep = set(order[self.hits[order] > 1].tolist()) if n <= self.most // 2 else set()
+        old, flat, bounds, hits = self.known, self.flat, self.bounds, self.hits
+        self._start()
+        for piece, k in old.items():
+            if k in keep:
+                self.hits[len(self.known)] = hits[k] // 2
+                self.known[piece] = len(self.known)
+                self.flat.extend(flat[bounds[k] : bounds[k + 1]])
+                self.bounds.append(len(self.flat))
 
     def texts(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text."""
         split = [t.split() for t in texts]
-        counts = np.array([len(s) for s in split], np.int64)
-        every = [p for s in split for p in s]
-        new = {p for p in set(every) if p not in self.known}
-        if any(len(p) > LONG for p in new) or len(new) > CACHE:
-            return [np.concatenate([np.zeros(0, np.int32), *self.encode(s)]) if s else np.zeros(0, np.int32) for s in split]
-        if len(self.known) + len(new) > CACHE:
-            self.clear()
-            new = set(every)
-        self._add(list(new))
-        at = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
-        sizes = self.bounds[at + 1] - self.bounds[at]
-        ends = np.cumsum(sizes)
-        ids = self.flat[np.repeat(self.bounds[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        cuts = np.concatenate(([0], ends))[np.cumsum(counts)]
+        every = list(chain.from_iterable(split))
+        new = set(every).difference(self.known)
+        if len(self.tails) > 1000:
+            self.tails.clear()
+        if max(map(len, new), default=0) >= LONG or len(new) > self.most // 2:
+            return [np.array(list(chain.from_iterable(map(self.encode, s))), np.int32) for s in split]
+        if len(self.known) + len(new) > self.most:
+            self._room(len(new))
+            new = set(every).difference(self.known)
+        known, flat, bounds = self.known, self.flat, self.bounds
+        for piece in new:
+            flat.extend(self.encode(piece))
+            known[piece] = len(known)
+            bounds.append(len(flat))
+        at = np.fromiter(map(known.__getitem__, every), np.int64, len(every))
+        self.hits[np.unique(at)] += 1
+        ids, ends = self._gather(at)
+        cuts = np.concatenate(([0], ends))[np.cumsum([len(s) for s in split])]
         return np.split(ids, cuts[:-1])
 
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bounds, flat = np.frombuffer(self.bounds, np.int64), np.frombuffer(self.flat, np.int32)
+        first = bounds[at]
+        sizes = bounds[at + 1] - first
+        ends = np.cumsum(sizes)
+        return flat[np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
+def forget() -> None:
+    """Drops this worker's caches: for stages that tokenise nothing."""
+    _OWN.clear()
+
 
 def pieces(path: str) -> PieceIds:
     """This worker's cache for a vocabulary file."""
@@ -115,12 +127,42 @@ def pieces(path: str) -> PieceIds:
     return _OWN[path]
 
 
+#: Bytes: 1 letters and digits, 2 endings, 3 second bytes of accented Latin letters, 0 white space, 4 others.
+_KINDS = np.full(256, 4, np.uint8)
+_KINDS[[32, 9, 10, 11, 12, 13]] = 0
+_KINDS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
+_KINDS[list(_ENDINGS)] = 2
+_KINDS[[*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)]] = 3
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The texts in lower case (A-Z) with a space before a lone ending of a word: other pieces with equal ids, and fewer different ones.
+
+    Where a text may name a special token, nothing changes: those count only as written.
+    """
+    if len(data) < 3 or b"<|" in data.tobytes():
+        return data.tobytes(), offsets
+    kind = _KINDS[data]
+    lone = np.zeros(len(data), bool)
+    accented = np.zeros(len(data), bool)
+    accented[1:] = (kind[1:] == 3) & (data[:-1] == 0xC3)
+    lone[1:] = (kind[1:] == 2) & ((kind[:-1] == 1) | accented[:-1])
+    last = np.zeros(len(data), bool)
+    last[:-1] = kind[1:] == 0
+    last[offsets[1:][offsets[1:] > 0] - 1] = True
+    lone[offsets[:-1][offsets[:-1] < len(data)]] = False
+    at = np.flatnonzero(lone & last)
+    return np.insert(_LOWER[data], at, 32).tobytes(), offsets + np.searchsorted(at, offsets)
+
+
 def column_ids(column: pa.Array, path: str) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row, ids of each text and then ``END``), slice by slice; null texts are empty."""
     cache = pieces(path)
     for first, data, offsets in _bytes.slices(column):
-        whole = data.tobytes()
-        texts = [whole[offsets[i] : offsets[i + 1]] for i in range(len(offsets) - 1)]
+        whole, bounds = spaced(data, offsets)
+        texts = [whole[bounds[i] : bounds[i + 1]] for i in range(len(bounds) - 1)]
         yield first, [np.append(ids, np.int32(END)) for ids in cache.texts(texts)]
 
 
