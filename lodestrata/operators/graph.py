@@ -99,6 +99,21 @@ def counts(**labels: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("label"), "n") for name, df in labels.items()])
 
 
+def property_keys(nodes: dict[str, DataFrame]) -> dict[str, list[str]]:
+    """Each label's property names."""
+    return {label: [c for c in df.columns if c != "key"] for label, df in nodes.items()}
+
+
+def without_doi(papers: DataFrame) -> DataFrame:
+    """Papers that no lookup has given a DOI."""
+    return papers.filter("doi is null")
+
+
+def weak_agreement(references: DataFrame, least: float = 0.5) -> DataFrame:
+    """References whose looked-up title hardly agrees with the printed one, weakest first."""
+    return references.filter(F.col("title_agreement") < least).orderBy("title_agreement", "key")
+
+
 def top_sources(relations: DataFrame, k: int = 6) -> DataFrame:
     """Papers that report most."""
     return relations.filter("type = 'REPORTED_IN'").groupBy("dst").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dst").limit(k)

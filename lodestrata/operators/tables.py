@@ -133,3 +133,13 @@ def measurements(mixture_rows: DataFrame, bounds: DataFrame, sources: DataFrame
 def wide(measured: DataFrame) -> DataFrame:
     """A row for each mixture, a column set for each property."""
     return measured.groupBy("row_id").pivot("property", list(vocab.PROPERTY_NAMES)).agg(F.max("value").alias("value"), F.max("unit").alias("unit"), F.max("temperature_c").alias("temperature_c"), F.max("source_col").alias("source_col"))
+
+
+def tallies(mixed: DataFrame, measured: DataFrame) -> DataFrame:
+    """what and n: mixtures by number of components, values by property, values away from the default temperature."""
+    size = F.size(F.array_compact("components"))
+    kinds = F.element_at(F.create_map(F.lit(1), F.lit("single"), F.lit(2), F.lit("binary"), F.lit(3), F.lit("ternary")), F.greatest(size, F.lit(1)))
+    by_size = mixed.groupBy(F.coalesce("component_flag", kinds).alias("what")).agg(F.count("*").alias("n"))
+    by_property = measured.groupBy(F.col("property").alias("what")).agg(F.count("*").alias("n"))
+    away = measured.filter(F.col("temperature_c") != vocab.DEFAULT_TEMPERATURE).agg(F.count("*").alias("n")).select(F.lit("away from default temperature").alias("what"), "n")
+    return by_size.unionByName(by_property).unionByName(away)

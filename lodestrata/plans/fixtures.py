@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lodestrata.functions import citations, keys, names, numbers, text, units
-from lodestrata.operators import graph, matching, quality
+from lodestrata.operators import graph, matching, quality, tables
 from lodestrata.sources import store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -366,3 +366,90 @@ SELECT o_orderkey, concat(o_custkey, ':', lpad(n::VARCHAR, 4, '0')) AS row_id FR
 def q36_dense_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))
     return _read(spark, sf_dir, "orders").withColumn("n", n).select("o_orderkey", F.format_string("%d:%04d", "o_custkey", "n").alias("row_id"))
+
+
+@_query("""
+WITH w AS (SELECT p_partkey, string_split(p_name, ' ')[1] AS a, string_split(p_name, ' ')[2] AS b FROM part),
+s AS (SELECT *, length(regexp_replace(a, '[^A-Za-z]', '', 'g')) >= 3 AND length(regexp_replace(b, '[^A-Za-z]', '', 'g')) >= 3 AS splits FROM w)
+SELECT p_partkey, CASE WHEN splits THEN a ELSE concat(a, '/', b) END AS c1, CASE WHEN splits THEN b ELSE concat('D/L-', a) END AS c2, CASE WHEN splits THEN concat('D/L-', a) ELSE 'x' END AS c3,
+  CASE WHEN splits THEN 'quaternary+' END AS flag FROM s
+""")
+def q37_component_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = F.split("p_name", " ")[0], F.split("p_name", " ")[1]
+    cells = F.array(_text(a, "/", b), F.lit(" "), _text("D/L-", a), F.lit("x"))
+    part = _read(spark, sf_dir, "part").select("p_partkey", names.components(cells).alias("c"))
+    return part.select("p_partkey", *[F.col("c.names")[i].alias(f"c{i + 1}") for i in range(3)], "c.flag")
+
+
+@_query("""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN '6:4' WHEN 1 THEN '2:1' WHEN 2 THEN '' ELSE '1:2' END AS raw,
+  CASE l_linenumber % 4 WHEN 0 THEN 'weight_ratio' WHEN 1 THEN 'unstable' WHEN 2 THEN 'unknown_ratio' ELSE '' END AS flag,
+  CASE l_linenumber % 4 WHEN 0 THEN 6.0::DOUBLE WHEN 1 THEN 2.0 WHEN 3 THEN 1.0 END AS r1 FROM lineitem
+""")
+def q38_ratio_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("l_linenumber") % 4
+    printed = F.when(k == 0, "i6:4").when(k == 1, "us2:1").when(k == 2, "C-").otherwise("1:2")
+    lines = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", tables.parse_ratio(printed, F.array().cast("array<string>")).alias("r"))
+    return lines.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "r.raw", "r.flag", F.col("r.parts")[0].alias("r1"))
+
+
+@_query("""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN l_linenumber % 5 IN (0, 1, 4) THEN l_quantity END AS value,
+  CASE l_linenumber % 5 WHEN 0 THEN 60.0::DOUBLE WHEN 1 THEN 30.0 WHEN 4 THEN 25.0 END AS temperature_c,
+  CASE l_linenumber % 5 WHEN 2 THEN 'not reported' WHEN 3 THEN 'no numeric value' ELSE '' END AS note FROM lineitem
+""")
+def q39_read_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, n = F.col("l_linenumber") % 5, F.col("l_quantity")
+    printed = F.when(k == 0, _text("d", n)).when(k == 1, _text(n, "a")).when(k == 2, "–").when(k == 3, "DT").otherwise(n.cast("string"))
+    cell = F.struct(printed.alias("text"), F.when(k == 1, F.array(F.lit("-"), F.lit("a"))).otherwise(F.array().cast("array<string>")).alias("markers"))
+    marks = F.expr("array(named_struct('marker', 'a', 'meaning', 'temperature', 'temperature_C', 30D, 'note', ''), named_struct('marker', 'd', 'meaning', 'temperature', 'temperature_C', 60D, 'note', ''))")
+    profile = F.struct(marks.alias("footnote_markers"), F.array(F.lit("n.r.")).alias("missing_value_tokens"), F.lit(None).cast("double").alias("default_temperature_C"))
+    lines = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", tables.read_value(cell, profile).alias("v"))
+    return lines.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "v.value", "v.temperature_c", "v.note")
+
+
+@_query("""
+SELECT l_returnflag, count(*) FILTER (l_linenumber = 1) AS first_lines, count(*) FILTER (l_linenumber > 1) AS other_lines, count(DISTINCT l_orderkey) AS sources FROM lineitem GROUP BY l_returnflag
+""")
+def q40_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = F.col("l_linenumber") == 1
+    return _read(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count_if(first).alias("first_lines"), F.count_if(~first).alias("other_lines"), F.countDistinct("l_orderkey").alias("sources"))
+
+
+@_query("""
+SELECT s_suppkey, p_partkey FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
+JOIN lineitem ON l_suppkey = s_suppkey JOIN part ON p_partkey = l_partkey WHERE r_name = 'EUROPE' AND ends_with(p_brand, '1') GROUP BY ALL
+""")
+def q41_pattern_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = _read(spark, sf_dir, "region").filter("r_name = 'EUROPE'").select("r_regionkey")
+    steps = (
+        (_read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), "r_regionkey", "n_regionkey"),
+        (_read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"), "n_nationkey", "s_nationkey"),
+        (_read(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey"), "s_suppkey", "l_suppkey"),
+        (_read(spark, sf_dir, "part").filter(F.col("p_brand").endswith("1")).select("p_partkey"), "l_partkey", "p_partkey"),
+    )
+    return graph.path(start, *steps).select("s_suppkey", "p_partkey").distinct()
+
+
+@_query("""
+SELECT c_custkey, o_orderkey, o_totalprice FROM (SELECT o_custkey AS c_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders) WHERE n = 1
+""")
+def q42_first_of_each(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
+    return matching.first_by(orders, ["c_custkey"], F.desc("o_totalprice"), F.asc("o_orderkey"))
+
+
+@_query("""
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 7 = 0 UNION ALL
+SELECT o_orderkey, o_custkey, 'old' FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 7 <> 0
+""")
+def q43_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return store.upsert(orders.filter("o_orderkey % 5 = 0").withColumn("o_orderstatus", F.lit("old")), orders.filter("o_orderkey % 7 = 0"), "o_orderkey")
+
+
+@_query("""
+SELECT doc_id, len(list_distinct(list_filter(string_split(trim(regexp_replace(text, '[ \n]+', ' ', 'g')), ' '), lambda x: x <> '')))::INT AS n_words FROM documents
+""")
+def q44_squashed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "documents").select("doc_id", F.size(F.array_distinct(F.filter(F.split(text.squash(F.col("text")), " "), lambda x: x != ""))).alias("n_words"))

@@ -97,10 +97,9 @@ class Tables:
         return graph.relations(self.mixtures, self.measurements)
 
 
-def run(files: DataFrame, inputs: Inputs, backend: str = "injected", model: str = "none", every_section: bool = False) -> Tables:
-    """All tables of files (slug, path, content)."""
-    spark = files.sparkSession
-    parsed = xml.parse(files)
+def run(parsed: DataFrame, inputs: Inputs, backend: str = "injected", model: str = "none", every_section: bool = False) -> Tables:
+    """All tables of parsed documents; every table reads them, so a large collection is best written or persisted first."""
+    spark = parsed.sparkSession
     good = xml.accepted(parsed)
     papers, found, cells = xml.papers(good), xml.tables(good), xml.cells(good)
     bibliography = xml.bibliography(good)

@@ -96,3 +96,15 @@ def sections(parsed: DataFrame) -> DataFrame:
 def inventory(parsed: DataFrame) -> DataFrame:
     """What each document holds."""
     return parsed.select("paper_key", "slug", "paper.dialect", *[F.size(k).alias(f"n_{k}") for k in ("tables", "figures", "references", "sections")])
+
+
+def to_json(parsed: DataFrame) -> DataFrame:
+    """slug and a parsed document as JSON."""
+    return parsed.select("slug", F.to_json(F.struct(*[c for c in parsed.columns if c != "slug"])).alias("json"))
+
+
+def from_json(stored: DataFrame) -> DataFrame:
+    """Parsed documents from their JSON."""
+    fields = [f for f in _parse_datatype_string(PARSED).fields if f.name != "slug"]
+    schema = ",".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ",paper_key string"
+    return stored.select("slug", F.from_json("json", schema).alias("d")).select("slug", "d.*")

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lodestrata.functions import text
 from lodestrata.plans import pipeline
-from lodestrata.sources import store
+from lodestrata.sources import store, xml
 
 BINARY = "path string, modificationTime timestamp, length long, content binary"
 
@@ -28,8 +28,12 @@ def start(spark: SparkSession, folder: str, base: str, checkpoint: str, inputs:
     """Writes each arriving paper's mixtures, measurements, references and figures to the store."""
 
     def batch(found: DataFrame, number: int) -> None:
-        for kind, df in pipeline.run(found.persist(), inputs(found.sparkSession)).outputs().items():
+        parsed = xml.parse(found).persist()
+        out = pipeline.run(parsed, inputs(found.sparkSession))
+        shared = [df.persist() for df in (out.references, out.mixtures, out.measurements)]
+        for kind, df in out.outputs().items():
             store.write(df, base, kind)
-        found.unpersist()
+        for df in (parsed, *shared):
+            df.unpersist()
 
     return documents(spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

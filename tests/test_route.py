@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.functions import vocab
-from lodestrata.operators import graph, profile, prose, quality
+from lodestrata.operators import graph, profile, prose, quality, tables
 from lodestrata.plans import pipeline
 from lodestrata.sources import dialects, responses, store, xml
 from lodestrata.streaming import ingest
@@ -63,7 +63,7 @@ def route(spark, folder, parsed):
     good = xml.accepted(parsed)
     cards = profile.cards(xml.cells(good), xml.tables(good)).persist()
     asked = prose.requests(prose.chosen(xml.sections(good)), "injected", "none")
-    out = pipeline.run(xml.files(spark, folder), inputs(spark, asked, cards, docs.prose_response(*(c for c, _ in CLAIMS))))
+    out = pipeline.run(parsed, inputs(spark, asked, cards, docs.prose_response(*(c for c, _ in CLAIMS))))
     for f in dataclasses.fields(out):
         if f.name != "index":
             getattr(out, f.name).persist()
@@ -94,6 +94,11 @@ def test_cells(parsed):
     assert jats == {(0, 0): "a", (0, 1): "1", (1, 0): "a", (1, 1): "2"}
 
 
+def test_json_round_trip(parsed):
+    again = xml.from_json(xml.to_json(parsed)).select(parsed.columns)
+    assert sorted(map(str, again.collect())) == sorted(map(str, parsed.collect()))
+
+
 def test_wide_cell_over_a_held_one_is_ragged():
     cell = {"text": "x"}
     _, width, ragged = dialects.grid([[(cell, 0, 1), (cell, 1, 1), (cell, 0, 1)], [(cell, 0, 2)]])
@@ -136,6 +141,8 @@ def test_measurements(route):
     }
     assert rows[1]["source_keys"] == ["10.5/a", "10.1000/one#ref2", "10.1000/one#ref3"] and rows[0]["measurement_key"] == "one:t1:0001:Density"
     assert [(r["source_row"], r["note"]) for r in route.skipped_cells.filter("paper_key = '10.1000/one'").collect()] == [(4, "no numeric value")]
+    counted = {r["what"]: r["n"] for r in tables.tallies(route.mixtures.filter("slug = 'one'"), route.measurements.filter("slug = 'one'")).collect()}
+    assert counted == {"binary": 5, "ternary": 1, "Density": 4, "away from default temperature": 2}
     assert route.fidelity().filter("problem is not null").count() == 0
 
 
@@ -222,10 +229,12 @@ def test_steps():
         pipeline.steps("x")
 
 
-def test_stream(spark, folder, tmp_path, parsed):
+def test_stream(spark, tmp_path, parsed):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.xml").write_text(docs.elsevier())
     good = xml.accepted(parsed)
     cards = profile.cards(xml.cells(good), xml.tables(good)).persist()
-    query = ingest.start(spark, folder, str(tmp_path / "store"), str(tmp_path / "checkpoint"), lambda s: inputs(s, cards=cards))
+    query = ingest.start(spark, str(tmp_path / "in"), str(tmp_path / "store"), str(tmp_path / "checkpoint"), lambda s: inputs(s, cards=cards))
     query.awaitTermination(180)
     assert query.exception() is None
-    assert store.read_all(spark, str(tmp_path / "store"), "measurements").count() == 8
+    assert store.read_all(spark, str(tmp_path / "store"), "measurements").count() == 4
