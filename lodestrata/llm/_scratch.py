@@ -6,6 +6,8 @@ temporary folder is made; with a remote master that is an error, as executors wo
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -23,7 +25,9 @@ def folder(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="lodestrata-")
+        path = tempfile.mkdtemp(prefix="lodestrata-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+        _OWN[app] = f"file://{path}"
     return _OWN[app]
 
 
@@ -32,11 +36,12 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/lodestrata/{name}-{uuid.uuid4().hex}"
 
 
-def table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def table(df: DataFrame, name: str, codec: str = "zstd", row_group: int | None = None) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it again: its lineage ends there."""
     spark = df.sparkSession
     path = fresh(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    writer = df.write.option("compression", codec)
+    (writer.option("parquet.block.size", row_group) if row_group else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 from lodestrata.llm import _scratch, _tokens
 
 STRIDE = 2048
-#: Slots in a shard: about 1 MB.
-SHARD = 256
+#: Slots in a shard: about 256 KB.
+SHARD = 64
+#: Bytes that a writer holds before it writes them.
+ROW_GROUP = 8 << 20
 #: Bytes of an id; the vocabulary has fewer than 65,536.
 WIDTH = 2
 KEY = "order-1"
@@ -102,12 +104,13 @@ def slotted(cut: DataFrame, key: str = KEY) -> DataFrame:
 
 def write(docs: DataFrame, path: str | None = None, stride: int = STRIDE, key: str = KEY) -> DataFrame:
     """The shards of all docs: shard, first (slot) and payload."""
-    cut = _scratch.table(sequences(docs, path or _tokens.default_path(), stride), "sequences", "none")
-    ranges = max(1, cut.count() // (SHARD * 16))
+    cut = _scratch.table(sequences(docs, path or _tokens.default_path(), stride), "sequences", "none", ROW_GROUP)
+    ranges = max(1, cut.count() // (SHARD * 64))
     dealt = slotted(cut, key).withColumn("shard", F.expr(f"slot div {SHARD}")).repartitionByRange(ranges, "shard").sortWithinPartitions("slot")
     size = struct.calcsize(_HEAD) + stride * WIDTH
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _tokens.forget()
         shard, payload, unpacker = None, bytearray(), zstandard.ZstdDecompressor()
 
         def done() -> pa.RecordBatch:
@@ -123,7 +126,7 @@ def write(docs: DataFrame, path: str | None = None, stride: int = STRIDE, key: s
         if shard is not None:
             yield done()
 
-    return _scratch.table(dealt.select("slot", "record").mapInArrow(fill, "shard long, first long, payload binary"), "shards")
+    return _scratch.table(dealt.select("slot", "record").mapInArrow(fill, "shard long, first long, payload binary"), "shards", "zstd", ROW_GROUP)
 
 
 def read(shards: DataFrame, first: int = 0, stride: int = STRIDE) -> DataFrame:
