@@ -7,17 +7,27 @@ then mixed; it is the same in every process.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 _U = np.uint64
 _P, _Q = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
 
 
+def release() -> None:
+    """Gives memory that a worker has finished with back to the machine: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not every C library has it
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values in which every input bit reaches every output bit."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)

@@ -13,7 +13,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _OWN: dict[str, str] = {}
+_MADE: list[str] = []
 
 
 def folder(spark: SparkSession) -> str:
@@ -36,17 +39,40 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/lodestrata/{name}-{uuid.uuid4().hex}"
 
 
+def lean(df: DataFrame) -> DataFrame:
+    """df, in a session whose batches for Python hold about ``BATCH_BYTES`` unless it has a bound: rows may be long texts."""
+    if df.sparkSession.conf.get(_BATCH, None) is None:
+        df.sparkSession.conf.set(_BATCH, str(BATCH_BYTES))
+    return df
+
+
 def table(df: DataFrame, name: str, codec: str = "zstd", row_group: int | None = None) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it again: its lineage ends there."""
     spark = df.sparkSession
     path = fresh(spark, name)
     writer = df.write.option("compression", codec)
     (writer.option("parquet.block.size", row_group) if row_group else writer).parquet(path)
+    _MADE.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, name: str, since: int) -> DataFrame:
+    """As table; then drops the tables made after ``since`` (see made), which only df's lineage used."""
+    out = table(df, name)
+    own = _MADE.pop()
+    drop(df.sparkSession, *_MADE[since:])
+    del _MADE[since:]
+    _MADE.append(own)
+    return out
+
+
+def made() -> int:
+    """How many tables there are."""
+    return len(_MADE)
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
-    """Deletes intermediate tables whose readers have finished."""
+    """Deletes tables whose readers have finished."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:

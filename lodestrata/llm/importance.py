@@ -25,7 +25,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,16 +76,16 @@ class Model:
         """A function column: the log weight of a text."""
         ratio = self.ratio
 
-        @F.pandas_udf("double")
-        def weight(texts: pd.Series) -> pd.Series:
+        @F.arrow_udf("double")
+        def weight(texts: pa.Array) -> pa.Array:
             out = np.full(len(texts), np.nan)
-            for first, data, offsets in _bytes.slices(pa.array(texts, pa.string())):
+            for first, data, offsets in _bytes.slices(texts):
                 buckets, text = grams(data, offsets)
                 n = len(offsets) - 1
                 counts = np.bincount(text, minlength=n)
                 sums = np.bincount(text, ratio[buckets], minlength=n)
                 out[first : first + n] = np.where(counts > 0, GRAMS * sums / np.maximum(counts, 1), np.nan)
-            return pd.Series(out)
+            return pa.array(out)
 
         return weight
 
@@ -105,7 +104,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Model:
     """The models of all docs and of the labelled ones."""
     sample = _scratch.table(labelled(labels, bound), "labelled")
     # At most 2 * bound rows.
-    joined = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).join(F.broadcast(sample), "id", "left")
+    joined = _scratch.lean(docs).select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).join(F.broadcast(sample), "id", "left")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
@@ -117,6 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Model:
                 target += np.bincount(buckets[good[first + text]], minlength=BUCKETS)
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(target[some])], ["bucket", "raw", "target"])
+        _bytes.release()
 
     counted = joined.select("text", "good").mapInArrow(count, "bucket long, raw long, target long")
     rows = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
@@ -167,7 +167,7 @@ def keyed(docs: DataFrame, model: Model, seed: int = SEED) -> DataFrame:
     """docs with log_weight and key (with Gumbel noise); both null for texts without grams."""
     weight = model.weigh()(F.col("text").cast("string"))
     uniform = (F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)), 11) + 0.5) / float(1 << 53)
-    out = docs.withColumn("log_weight", weight).withColumn("log_weight", F.when(~F.isnan("log_weight"), F.col("log_weight")))
+    out = _scratch.lean(docs).withColumn("log_weight", weight).withColumn("log_weight", F.when(~F.isnan("log_weight"), F.col("log_weight")))
     return out.withColumn("key", F.col("log_weight") - F.log(-F.log(uniform)))
 
 

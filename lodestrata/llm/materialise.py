@@ -85,7 +85,7 @@ def sequences(docs: DataFrame, path: str, stride: int = STRIDE) -> DataFrame:
                 columns = [pa.array(np.full(len(records), part, np.int32)), pa.array(rows), pa.array(records, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["part", "row", "record"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "part int, row long, record binary")
+    return _scratch.lean(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "part int, row long, record binary")
 
 
 def slotted(cut: DataFrame, key: str = KEY) -> DataFrame:

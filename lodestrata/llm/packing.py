@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestrata.llm import _scratch, _tokens
+from lodestrata.llm import _bytes, _scratch, _tokens
 
 CAPACITY = 2048
 BINS = 64
@@ -62,9 +62,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
                     pa.array([zlib.crc32(b) for b in blobs], pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
+        _bytes.release()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return _scratch.lean(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 1000) -> np.ndarray:

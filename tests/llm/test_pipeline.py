@@ -12,7 +12,9 @@ def test_stages(spark, sf):
         sizes.append(docs.count())
         assert name == corpus_pipeline.STAGES[-1][0] or docs.columns == columns
     assert sizes[0] > sizes[1] > sizes[2] == sizes[3] and sizes[-1] >= sizes[-2] > 0
+    before = _scratch.made()
     assert corpus_pipeline.run(spark, sf).count() == sizes[-1]
+    assert _scratch.made() - before <= 2  # the last stage's input, and its pieces
 
 
 def test_stages_on_odd_rows(spark, odd, sf):
