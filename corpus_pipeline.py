@@ -50,7 +50,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), _scratch.made()
     for _, stage in STAGES[:-1]:
-        docs = _scratch.table(stage(spark, docs, sf_dir), "stage")
+        docs = _scratch.settled(stage(spark, docs, sf_dir), "stage", since)
     return STAGES[-1][1](spark, docs, sf_dir)
