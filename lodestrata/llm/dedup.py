@@ -98,8 +98,9 @@ def sketches(docs: DataFrame, n: int = N_WORDS, permutations: int = PERMUTATIONS
                     [ids, pa.array(sizes), pa.array(fps, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                     ["doc_id", "n_shingles", "fp", "keys"],
                 )
+        _bytes.release()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, fp binary, keys array<long>")
+    return _scratch.lean(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, fp binary, keys array<long>")
 
 
 def full_sets(docs: DataFrame, n: int = N_WORDS) -> DataFrame:
@@ -110,8 +111,9 @@ def full_sets(docs: DataFrame, n: int = N_WORDS) -> DataFrame:
             for first, sets in _sets(batch.column(1), n):
                 values = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), values], ["id", "s"])
+        _bytes.release()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "id long, s array<long>")
+    return _scratch.lean(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "id long, s array<long>")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -205,6 +207,7 @@ def near_links(sketch: DataFrame, docs: DataFrame, n: int = N_WORDS, percent: in
 
     def settle(group: pd.DataFrame) -> pd.DataFrame:
         found = block_links(group["id"].to_numpy(), group["label"].to_numpy(), [np.asarray(s) for s in group["s"]], percent)
+        _bytes.release()
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     more = _scratch.table(seen.groupBy("bucket", "i", "j").applyInPandas(settle, "a long, b long"), "more")
@@ -225,7 +228,11 @@ def near_duplicates(docs: DataFrame, n: int = N_WORDS, permutations: int = PERMU
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs whose doc_id is its component's least, all columns unchanged; rows that repeat a doc_id stay once."""
-    judged = near_duplicates(docs.select("doc_id", "text"), **options)
-    kept = judged.filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    judged = _scratch.table(near_duplicates(docs.select("doc_id", "text"), **options).filter("doc_id is not null"), "judged")
+    kept = judged.filter("kept").select("doc_id").distinct()
+    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
+    repeated = judged.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if not repeated.isEmpty():
+        once = named.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        named = named.join(repeated, "doc_id", "left_anti").unionByName(once)
     return named.unionByName(docs.filter("doc_id is null"))
