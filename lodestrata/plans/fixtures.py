@@ -217,7 +217,7 @@ SELECT token, count(*) AS n FROM (SELECT trim(unnest(string_split(text, ','))) A
 """)
 def q18_unresolved_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     token = F.explode(F.transform(F.split("text", ","), lambda x: F.trim(x))).alias("token")
-    return _read(spark, sf_dir, "documents").select(token).filter("token <> '' and length(token) <= 12").groupBy("token").agg(F.count("*").alias("n"))
+    return _read(spark, sf_dir, "documents").select(token).filter("token <> ''").groupBy("token").agg(F.count("*").alias("n"))
 
 
 @_query(r"""

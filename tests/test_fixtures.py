@@ -1,6 +1,7 @@
 """Fixture queries against DuckDB on the smallest tables, and the entry module."""
 
 import os
+from collections import Counter
 
 import duckdb
 import pytest
@@ -41,6 +42,14 @@ def test_query_equals_its_sql(spark, duck, name):
     assert plain([tuple(r) for r in got.collect()], got.columns) == plain(want.fetchall(), names)
 
 
+def test_unresolved_counter_keeps_tokens_of_any_length(spark, tmp_path):
+    texts = ["a, choline chloride-urea mixture ,a", " ,, " + "x" * 5000 + ",1,2-dimethylimidazolium", None, "", "choline chloride-urea mixture"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = Counter(x.strip(" ") for t in texts if t for x in t.split(",") if x.strip(" "))
+    got = fixtures.QUERIES["q18_unresolved_counter"](spark, str(tmp_path)).collect()
+    assert len(got) == len(want) and {r["token"]: r["n"] for r in got} == want
+
+
 def test_sample_is_stable(spark):
     first = {r["doc_id"] for r in fixtures.QUERIES["q35_seeded_sample"](spark, SF).collect()}
     again = {r["doc_id"] for r in fixtures.QUERIES["q35_seeded_sample"](spark, SF).collect()}
