@@ -19,8 +19,10 @@ Components come from min-label propagation with pointer jumping; no links or lab
 
 Defined results: a null or empty text, or one without words, has an empty set, is linked with nothing and is its
 own component. A text with fewer than ``n`` words has its whole sequence as its one run. Rows that repeat a doc_id
-are one node of the graph: what links any of them links all. A row whose doc_id is null takes no part: its
-component is null and it is kept. Other columns, whatever their names, play no role in the result.
+are one node of the graph: what links any of them links all, also those without words. Where they differ in text,
+``keep_one`` judges each text by itself, so no text goes for what another text of its doc_id is near to. A row whose
+doc_id is null takes no part: its component is null and it is kept. Other columns, whatever their names, play no
+role in the result.
 """
 
 from __future__ import annotations
@@ -171,6 +173,13 @@ def block_links(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], perc
     return found if n else []
 
 
+def _shared_docs(own: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of each doc_id that has several: its least with the others."""
+    held = own.select("doc_id", "fp").distinct().join(classes.select("fp", "id"), "fp").select("doc_id", "id").distinct()
+    least = held.groupBy("doc_id").agg(F.min("id").alias("b"))
+    return held.join(least, "doc_id").filter("id != b").select(F.col("id").alias("a"), "b")
+
+
 def near_links(sketch: DataFrame, docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(classes, labels): (fp, id) of each distinct set, and (id, label) of those linked with another."""
     own = sketch.filter("fp is not null and doc_id is not null")
@@ -193,9 +202,10 @@ def near_links(sketch: DataFrame, docs: DataFrame, n: int = N_WORDS, percent: in
     met = seats.filter("n > 3").select("id").union(pairs.select("a")).union(pairs.select("b")).distinct()
     texts = docs.select("doc_id", "text").join(met.select(F.col("id").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
     sets = _scratch.table(full_sets(texts, n), "sets")
-    if not own.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        sets = sets.dropDuplicates()
-    links = _scratch.table(_confirmed(pairs, sets, percent), "confirmed")
+    repeated = not own.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    sets = sets.dropDuplicates() if repeated else sets
+    links = _confirmed(pairs, sets, percent)
+    links = _scratch.table(links.unionByName(_shared_docs(own, classes)).distinct() if repeated else links, "confirmed")
     labels = components(links)
 
     seen = seats.filter("n > 3").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -222,17 +232,30 @@ def near_duplicates(docs: DataFrame, n: int = N_WORDS, permutations: int = PERMU
     classes, labels = near_links(sketch, docs, n, percent)
     named = classes.join(labels, "id", "left").select("fp", F.coalesce("label", "id").alias("label"))
     out = sketch.select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
+    mixed = sketch.groupBy("doc_id").agg(F.count("fp").alias("full"), F.count("*").alias("n")).filter("doc_id is not null and full > 0 and full < n").select("doc_id")
+    if not mixed.isEmpty():
+        node = out.join(mixed, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("label").alias("node"))
+        out = out.join(node, "doc_id", "left").withColumn("label", F.coalesce("label", "node"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs whose doc_id is its component's least, all columns unchanged; rows that repeat a doc_id stay once."""
-    judged = _scratch.table(near_duplicates(docs.select("doc_id", "text"), **options).filter("doc_id is not null"), "judged")
-    kept = judged.filter("kept").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
-    repeated = judged.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if not repeated.isEmpty():
-        once = named.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        named = named.join(repeated, "doc_id", "left_anti").unionByName(once)
-    return named.unionByName(docs.filter("doc_id is null"))
+    """The rows of docs whose doc_id is its component's least, all columns unchanged; rows that repeat a doc_id and its text stay once.
+
+    Where a doc_id repeats, components are those of its texts: each different text of a doc_id is a node of its own.
+    """
+    named = docs.filter("doc_id is not null")
+    if named.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        judged = _scratch.table(near_duplicates(named.select("doc_id", "text"), **options), "judged")
+        kept = named.join(judged.filter("kept").select("doc_id"), "doc_id", "left_semi")
+        return kept.unionByName(docs.filter("doc_id is null"))
+    digest = F.coalesce(F.sha2(F.col("text").cast("string").cast("binary"), 256), F.lit(""))
+    texts = named.select("doc_id", digest.alias("__digest")).groupBy("doc_id", "__digest").agg(F.count("*").alias("__copies"))
+    # Ids in the order of doc_id, so the least node of a component has its least doc_id.
+    nodes = _scratch.table(texts.orderBy("doc_id", "__digest").withColumn("__node", F.monotonically_increasing_id()), "nodes")
+    seated = named.withColumn("__digest", digest).join(nodes, ["doc_id", "__digest"])
+    judged = _scratch.table(near_duplicates(seated.select(F.col("__node").alias("doc_id"), "text"), **options), "judged")
+    kept = seated.join(judged.filter("kept").select(F.col("doc_id").alias("__node")).distinct(), "__node", "left_semi")
+    once = kept.filter("__copies > 1").dropDuplicates(["__node"])
+    return kept.filter("__copies = 1").unionByName(once).select(docs.columns).unionByName(docs.filter("doc_id is null"))

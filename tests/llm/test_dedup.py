@@ -78,6 +78,30 @@ def test_odd_rows(odd):
     assert kept.columns == odd.columns and kept.filter("doc_id = 4").count() == 1 and kept.filter("doc_id is null").count() == 2
 
 
+def varied(seed, words=60):
+    """Four texts without a common run, and a near copy of each."""
+    rng = np.random.default_rng(seed)
+    texts = [[f"w{x}" for x in rng.integers(0, 1 << 30, words)] for _ in range(4)]
+    return [" ".join(t) for t in texts], [" ".join([*t[:-2], "end"]) for t in texts]
+
+
+def test_what_links_a_row_links_all_rows_of_its_doc_id(spark):
+    (a, b, c, d), (_, b2, c2, _) = varied(7)
+    docs = [(3, a), (5, a), (5, b), (9, b2), (5, ""), (6, c), (6, d), (8, c2), (7, c), (7, None), (2, None)]
+    got = [(r["doc_id"], r["component_id"], r["kept"]) for r in dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
+    want = {3: 3, 5: 3, 9: 3, 6: 6, 8: 6, 7: 6, 2: 2}
+    assert sorted(got) == sorted((i, want[i], want[i] == i) for i, _ in docs)
+
+
+def test_no_text_is_lost_under_a_repeated_doc_id(spark):
+    (a, b, c, d), (a2, b2, c2, d2) = varied(8)
+    docs = [(3, a), (5, a), (5, b), (9, b2), (6, c), (6, d), (6, d), (2, c2), (8, d2), (4, ""), (4, a2), (4, None), (None, a)]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(docs)], "doc_id long, text string, label long")
+    got = [(r["doc_id"], r["text"]) for r in dedup.keep_one(df).collect()]
+    want = [(3, a), (5, b), (2, c2), (6, d), (4, ""), (4, None), (None, a)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_empty(odd):
     assert dedup.near_duplicates(odd.limit(0)).count() == 0 and dedup.keep_one(odd.limit(0)).count() == 0
 
