@@ -49,17 +49,15 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in _tokens.column_ids(batch.column(1), path):
-                counts = [-(-len(t) // capacity) for t in texts]
-                at = np.repeat(np.arange(len(texts)), counts)
-                number = np.concatenate([np.arange(c) for c in counts]) if counts else np.zeros(0, np.int64)
-                blobs = [texts[i][n * capacity : (n + 1) * capacity].astype("<u4").tobytes() for i, n in zip(at, number)]
+            for first, ids, bounds in _tokens.flat_ids(batch.column(1), path):
+                at, number, starts, ends = _tokens.cut(bounds, capacity)
+                blob = memoryview(ids.astype("<u4").tobytes())
                 columns = [
                     batch.column(0).take(pa.array(first + at)),
                     pa.array(number.astype(np.int32)),
-                    pa.array(number.astype(np.int64) * capacity),
-                    pa.array([len(b) // 4 for b in blobs], pa.int64()),
-                    pa.array([zlib.crc32(b) for b in blobs], pa.int64()),
+                    pa.array(number * capacity),
+                    pa.array(ends - starts),
+                    pa.array([zlib.crc32(blob[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())], pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
         _bytes.release()
