@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lodestrata.llm import _tokens, materialise
@@ -53,3 +54,27 @@ def test_resumes_at_a_slot(spark, tmp_path):
     size = 20 + 8 * materialise.WIDTH
     data = b"".join(p.read_bytes() for p in sorted(tmp_path.glob("*.bin")))
     assert len(data) == 300 * size and data[7 * size + 20 :].startswith(bytes(every[7][1]))
+
+
+def test_files_and_key_decide(spark, sf, tmp_path):
+    """Equal slots however the files are split and read."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs.repartition(3).sortWithinPartitions("doc_id").write.option("parquet.block.size", 20_000).parquet(str(tmp_path / "docs"))
+    columns = ["doc_id", "piece", "slot", "ids_crc32"]
+
+    def slots():
+        return sorted(map(tuple, materialise.order(spark.read.parquet(str(tmp_path / "docs"))).select(columns).collect()))
+
+    whole = slots()
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        assert spark.read.parquet(str(tmp_path / "docs")).rdd.getNumPartitions() > 3
+        assert slots() == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_wide_ids_are_an_error():
+    with pytest.raises(ValueError, match="needs more than 2 bytes"):
+        materialise._records(pa.array([1], pa.int64()), np.array([70_000, 0]), np.array([0, 2]), 2048)
