@@ -1,26 +1,35 @@
 """WARC archives by way of a converter for legacy ARC files.
 
-The converter reads an ARC file's version block, takes the header layout of that version (1: url, address, date,
-type, length; 2: with result code, checksum, location, offset and file name), and cuts each record by its declared
-length. For each it synthesises the equivalent WARC record: identifier, timestamp, type, block and payload digest.
-
-``archive`` writes a record for every page and reads the archives back. Among records with equal payloads of at
-least ``min_bytes`` bytes, the one with the greatest page_id is a response; the others are revisits that refer to
-it. Payloads meet by digest and length, pre-aggregated before the shuffle; a payload that a third of all pages
-share is one hot join key, which adaptive execution splits. Archives are rows of gzip members of at most about
+The converter reads an ARC file (plain, or gzip members), its version block with the fields that it declares, and
+cuts each record by its declared length. Header lines are read from the date outwards, so urls and content types may
+hold spaces. For each record it synthesises the equivalent WARC record: a status line makes it a response (or a
+revisit), anything else (dns lookups, bare files) a resource of its declared type; identifier, timestamp, address,
+block and payload digests follow from the record itself; the version block becomes a warcinfo record that the others
+name. Heads of HTTP messages may end lines with LF alone, and lines without a colon are left as they are.
+
+``archive`` writes a record for every page by way of ARC captures and reads the archives back. Among records with
+equal payloads of at least ``min_bytes`` bytes, the one with the greatest page_id is a response; the others are
+revisits that refer to it. Payloads meet by digest and length, pre-aggregated before the shuffle. Payloads that make
+up ``1 / HOT`` or more of the repeated rows are at most ``HOT``, so these few rows (digest, target) are broadcast, and
+their pages are dealt by page; no other key holds more. Archives are rows of gzip members of at most about
 ``ARCHIVE_BYTES`` (or one record), written as Parquet in the shared folder, so any store that Spark writes will do;
-``export`` copies them to files.
+``export`` copies them to files, and ``convert_files`` converts a table of ARC files.
 
-Defined results: a null html is an empty payload. A null url is recorded as ``urn:page:<id>``. Rows that repeat a
-page_id with one payload are all of one type: with the greatest page_id each is a response. A null page_id is less
-than any other; it stays null. Extra columns are not archived. An empty table gives no archive and no rows.
+Defined results: a null html is an empty payload. A null url is recorded as ``urn:page:<id>``; urls of any length are
+kept whole. Rows that repeat a page_id with one payload are all of one type: with the greatest page_id each is a
+response. Captures equal in every byte share one identifier. A null page_id is less than any other; it stays null.
+Extra columns are not archived. An empty table gives no archive and no rows. ARC data that ends before a declared
+length, or a header line without date and length, is an error that names the byte.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import ipaddress
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -35,15 +44,23 @@ from lodestrata.llm import _scratch
 
 ARCHIVE_BYTES = 4 << 20
 MIN_BYTES = 0
+#: Payloads of which each makes up 1 / HOT of the repeated rows, at most so many, are broadcast.
+HOT = 200
 #: Pages carry no date of capture; every record gets this one.
 CAPTURED = "20240101000000"
+#: Pages carry no address either.
+NO_ADDRESS = "0.0.0.0"
 LEVEL = 4
 
-#: Fields of an ARC record's header line by version (fixed by the format).
+#: Fields of an ARC record's header line by version, and their names in version blocks (fixed by the format).
 ARC_FIELDS = {
     "1": ("url", "ip", "date", "type", "length"),
     "2": ("url", "ip", "date", "type", "result", "checksum", "location", "offset", "filename", "length"),
 }
+DECLARED = {
+    "url": "URL", "ip": "IP-address", "date": "Archive-date", "type": "Content-type", "result": "Result-code",
+    "checksum": "Checksum", "location": "Location", "offset": "Offset", "filename": "Filename", "length": "Archive-length",
+}
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -55,13 +72,23 @@ class ArcRecord:
     content: bytes
 
 
-def write_arc(captures: Iterable[tuple[str, str, bytes]], version: str = "1", date: str = CAPTURED) -> bytes:
+@dataclass
+class ArcVersion:
+    """An ARC file's version block: version, origin, the names of the fields of its records, and its own header fields."""
+
+    version: str
+    origin: str
+    names: tuple[str, ...]
+    fields: dict[str, str]
+
+
+def write_arc(captures: Iterable[tuple[str, str, bytes]], version: str = "1", date: str = CAPTURED, ip: str = NO_ADDRESS) -> bytes:
     """An uncompressed ARC file of (url, content type, content)."""
     names = ARC_FIELDS[version]
-    block = f"{version} 0 -\n{' '.join(names)}\n".encode()
+    block = f"{version} 0 -\n{' '.join(DECLARED[n] for n in names)}\n".encode()
 
     def header(url: str, kind: str, content: bytes) -> bytes:
-        values = {"url": url, "ip": "0.0.0.0", "date": date, "type": kind, "length": str(len(content))}
+        values = {"url": url, "ip": ip, "date": date, "type": kind, "length": str(len(content))}
         return " ".join(values.get(n, "-") for n in names).encode() + b"\n"
 
     out = [header("filedesc://pages.arc", "text/plain", block), block, b"\n"]
@@ -70,27 +97,67 @@ def write_arc(captures: Iterable[tuple[str, str, bytes]], version: str = "1", da
     return b"".join(out)
 
 
+def _line(line: bytes, names: tuple[str, ...], at: int) -> dict[str, str]:
+    """The fields of a header line: the date (8 to 17 digits) stands after url and address, the fields behind the type hold no spaces."""
+    text = line.decode("utf-8", "surrogateescape").rstrip("\r")
+    behind = len(names) - 4
+    found = re.fullmatch(r"(.*) (\S+) (\d{8,17}) (.*)" + r" (\S+)" * (behind - 1) + r" (\d+)", text) if behind > 0 else None
+    if not found:
+        raise ValueError(f"header line at byte {at} has no date and length: {text[:200]!r}")
+    return dict(zip(names, found.groups()))
+
+
+def _content(data: bytes, start: int, fields: dict[str, str]) -> bytes:
+    end = start + int(fields["length"])
+    if end > len(data):
+        raise ValueError(f"record at byte {start} is shorter than declared")
+    return data[start:end]
+
+
+def read_version(data: bytes) -> tuple[ArcVersion, int]:
+    """(the version block of an uncompressed ARC file, the byte behind it).
+
+    The block's own header line has the layout of its version, which only the block itself tells: its length is the
+    line's last word in both.
+    """
+    end = data.find(b"\n")
+    if not data.startswith(b"filedesc:") or end < 0:
+        raise ValueError("no version block at byte 0")
+    line = data[:end]
+    length = line.split()[-1]
+    if not length.isdigit():
+        raise ValueError("the version block's header line has no length")
+    block = _content(data, end + 1, {"length": length.decode()})
+    lines = block.decode("utf-8", "replace").splitlines()
+    version, _, origin = (lines[0].split(None, 2) + ["", "", ""])[:3] if lines else ("", "", "")
+    if version not in ARC_FIELDS:
+        raise ValueError(f"version {version!r} is none of {sorted(ARC_FIELDS)}")
+    short = {v.lower(): k for k, v in DECLARED.items()}
+    declared = tuple(short.get(name.lower(), name.lower()) for name in lines[1].split()) if len(lines) > 1 else ()
+    names = declared if declared[:4] == ARC_FIELDS["1"][:4] and declared[-1] == "length" else ARC_FIELDS[version]
+    return ArcVersion(version, origin, names, _line(line, ARC_FIELDS["1" if len(line.split()) <= 5 else "2"], 0)), end + 1 + len(block)
+
+
+def plain(data: bytes) -> bytes:
+    """ARC data without gzip."""
+    return gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+
+
 def read_arc(data: bytes) -> Iterator[ArcRecord]:
     """The records of an ARC file, in order, without its version block."""
-    end = data.index(b"\n")
-    length = int(data[:end].split()[-1])
-    block = data[end + 1 : end + 1 + length]
-    names = ARC_FIELDS[block.split(None, 1)[0].decode()]
-    at = end + 1 + length
+    data = plain(data)
+    version, at = read_version(data)
     while True:
         while data[at : at + 1] in (b"\n", b"\r"):
             at += 1
         if at >= len(data):
             return
-        end = data.index(b"\n", at)
-        values = data[at:end].decode().split(" ")
-        if len(values) != len(names):
-            raise ValueError(f"header line with {len(values)} fields at byte {at}; {len(names)} expected")
-        fields = dict(zip(names, values))
-        at = end + 1 + int(fields["length"])
-        if at > len(data):
-            raise ValueError(f"record at byte {end + 1} is shorter than declared")
-        yield ArcRecord(fields, data[end + 1 : at])
+        end = data.find(b"\n", at)
+        end = len(data) if end < 0 else end
+        fields = _line(data[at:end], version.names, at)
+        content = _content(data, end + 1, fields)
+        at = end + 1 + len(content)
+        yield ArcRecord(fields, content)
 
 
 def digest(payload: bytes) -> str:
@@ -98,61 +165,129 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page: str, payload_digest: str) -> str:
-    """A stable identifier of a capture."""
-    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha1(f'{page}/{payload_digest}'.encode()).digest()[:16], version=5)}>"
+def _urn(name: bytes) -> str:
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha1(name).digest()[:16], version=5)}>"
+
+
+def record_id(record: ArcRecord) -> str:
+    """A stable identifier of a record, from its header fields and bytes."""
+    named = " ".join(f"{k}={v}" for k, v in record.fields.items() if k not in ("offset", "filename"))
+    return _urn(named.encode("utf-8", "surrogateescape") + b"\n" + hashlib.sha1(record.content).digest())
 
 
-def _http(content: bytes) -> tuple[bytes, dict[str, str], bytes]:
-    """An HTTP message's head, its fields and its payload."""
-    at = content.index(b"\r\n\r\n") + 4
-    fields = dict(line.split(": ", 1) for line in content[:at].decode("latin-1").split("\r\n")[1:-2])
+def _http(content: bytes) -> tuple[bytes, dict[str, str], bytes] | None:
+    """An HTTP message's head, its fields (names in lower case) and its payload; None if there is no status line."""
+    if not re.match(rb"HTTP/\d", content):
+        return None
+    end = re.search(rb"\r?\n\r?\n", content)
+    at = end.end() if end else len(content)
+    fields: dict[str, str] = {}
+    for line in content[:at].decode("latin-1").splitlines()[1:]:
+        name, colon, value = line.partition(":")
+        if colon and name == name.strip():
+            fields.setdefault(name.lower(), value.strip())
     return content[:at], fields, content[at:]
 
 
-def to_warc(record: ArcRecord, target: str | None) -> bytes:
-    """The WARC record of an ARC record; target: the page whose response it revisits."""
-    head, fields, payload = _http(record.content)
-    own = digest(payload)
-    block = record.content if target is None else head
-    when = record.fields["date"]
+def warc_date(date: str) -> str:
+    """A WARC timestamp of an ARC date; what the date lacks is zero."""
+    d = date[:14].ljust(14, "0")
+    return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
+
+
+def _address(ip: str) -> list[str]:
+    try:
+        address = ipaddress.ip_address(ip)
+    except ValueError:
+        return []
+    return [] if address.is_unspecified else [f"WARC-IP-Address: {address}"]
+
+
+def _record(lines: list[str], block: bytes) -> bytes:
+    lines = ["WARC/1.1", *lines, f"WARC-Block-Digest: sha1:{digest(block)}", f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode("utf-8", "surrogateescape") + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def to_warcinfo(version: ArcVersion) -> tuple[str, bytes]:
+    """(identifier, the warcinfo record) of an ARC file's version block."""
+    name = version.fields["url"].removeprefix("filedesc://")
+    facts = {"software": "lodestrata", "format": "WARC File Format 1.1", "description": f"converted from ARC version {version.version}", "isPartOf": name}
+    facts |= {"publisher": version.origin} if version.origin.strip("- ") else {}
+    block = "".join(f"{k}: {v}\r\n" for k, v in facts.items()).encode("utf-8", "surrogateescape")
+    own = _urn(repr(version).encode("utf-8", "surrogateescape"))
+    lines = ["WARC-Type: warcinfo", f"WARC-Record-ID: {own}", f"WARC-Date: {warc_date(version.fields['date'])}", f"WARC-Filename: {name}", *_address(version.fields["ip"])]
+    return own, _record([*lines, "Content-Type: application/warc-fields"], block)
+
+
+def to_warc(record: ArcRecord, target: ArcRecord | None, info: str | None = None) -> bytes:
+    """The WARC record of an ARC record; target: the response with an equal payload that it revisits, info: its warcinfo's identifier."""
+    http = _http(record.content)
+    payload = http[2] if http else record.content
+    revisits = target is not None and http is not None
+    kind = "revisit" if revisits else "response" if http else "resource"
+    own = f"sha1:{digest(payload)}"
     lines = [
-        "WARC/1.1",
-        f"WARC-Type: {'response' if target is None else 'revisit'}",
-        f"WARC-Record-ID: {record_id(fields['X-Page-Id'], own)}",
-        f"WARC-Target-URI: {record.fields['url']}",
-        f"WARC-Date: {when[:4]}-{when[4:6]}-{when[6:8]}T{when[8:10]}:{when[10:12]}:{when[12:14]}Z",
-        f"WARC-Payload-Digest: sha1:{own}",
-        f"WARC-Block-Digest: sha1:{digest(block)}",
-        "Content-Type: application/http; msgtype=response",
+        f"WARC-Type: {kind}",
+        f"WARC-Record-ID: {record_id(record)}",
+        f"WARC-Target-URI: {record.fields['url'].replace(' ', '%20')}",
+        f"WARC-Date: {warc_date(record.fields['date'])}",
+        f"WARC-Payload-Digest: {own}",
+        *_address(record.fields["ip"]),
+        *([f"WARC-Warcinfo-ID: {info}"] if info else []),
+        f"Content-Type: {'application/http; msgtype=response' if http else record.fields['type']}",
     ]
-    if target is not None:
-        lines += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: {record_id(target, own)}", f"X-Refers-To-Page-Id: {target}"]
-    lines.append(f"Content-Length: {len(block)}")
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
-
-
-def convert(arc: bytes, targets: list[str | None]) -> bytes:
-    """The WARC file of an ARC file: a gzip member for each record. targets: by record, as for to_warc."""
-    out = []
-    for record, target in zip(read_arc(arc), targets, strict=True):
-        packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
-        out.append(packer.compress(to_warc(record, target)) + packer.flush())
-    return b"".join(out)
+    if revisits:
+        lines += [
+            f"WARC-Profile: {REVISIT}",
+            f"WARC-Refers-To: {record_id(target)}",
+            f"WARC-Refers-To-Target-URI: {target.fields['url'].replace(' ', '%20')}",
+            f"WARC-Refers-To-Date: {warc_date(target.fields['date'])}",
+        ]
+        page = (_http(target.content) or (b"", {}, b""))[1].get("x-page-id")
+        lines += [f"X-Refers-To-Page-Id: {page}"] if page else []
+    return _record(lines, http[0] if revisits else record.content)
+
+
+def _member(record: bytes) -> bytes:
+    packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+    return packer.compress(record) + packer.flush()
+
+
+def convert(arc: bytes, targets: Iterable[ArcRecord | None] | None = None) -> bytes:
+    """The WARC file of an ARC file: a gzip member for each record, the warcinfo first. targets: by record, as for to_warc."""
+    arc = plain(arc)
+    info, first = to_warcinfo(read_version(arc)[0])
+    records = list(read_arc(arc))
+    targets = [None] * len(records) if targets is None else targets
+    return b"".join([_member(first), *(_member(to_warc(r, t, info)) for r, t in zip(records, targets, strict=True))])
+
+
+def convert_files(files: DataFrame) -> DataFrame:
+    """archive (name), data (a WARC file of gzip members) of every ARC file (path, content; as Spark's binaryFile source reads them)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                name = re.sub(r"\.arc(\.gz)?$", "", path.rpartition("/")[2]) + ".warc.gz"
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([convert(content.as_py())], pa.binary())], ["archive", "data"])
 
+    return files.select("path", "content").filter("content is not null").mapInArrow(run, "archive string, data binary")
 
-def read_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, block) of the records of a WARC file of gzip members; digests are checked."""
+
+def read_warc(data: bytes, info: bool = False) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(fields, block) of the captures, with info also of the warcinfo records, of a WARC file of gzip members; digests are checked."""
     while data:
         unpacker = zlib.decompressobj(31)
         record = unpacker.decompress(data)
         data = unpacker.unused_data
         head, _, rest = record.partition(b"\r\n\r\n")
-        fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+        lines = (line.partition(":") for line in head.decode("utf-8", "surrogateescape").split("\r\n")[1:])
+        fields = {name: value.strip(" ") for name, _, value in lines}
         block = rest[: int(fields["Content-Length"])]
         if fields["WARC-Block-Digest"] != f"sha1:{digest(block)}":
             raise ValueError(f"damaged block of {fields['WARC-Record-ID']}")
-        yield fields, block
+        if info or fields["WARC-Type"] != "warcinfo":
+            yield fields, block
 
 
 def _capture(page: int | None, url: str | None, payload: bytes) -> tuple[str, str, bytes]:
@@ -161,16 +296,36 @@ def _capture(page: int | None, url: str | None, payload: bytes) -> tuple[str, st
     return quote(url, safe=":/?#[]@!$&'()*+,;=%-._~") if url else f"urn:page:{name}", "text/html", head.encode() + payload
 
 
+def _captured(page: int | None, url: str | None, payload: bytes) -> ArcRecord:
+    """The record of a page's capture as an archive holds it."""
+    return next(read_arc(write_arc([_capture(page, url, payload)])))
+
+
+def _targets(pages: DataFrame, min_bytes: int) -> DataFrame:
+    """sha, bytes, target (page_id and url of its response) and n of every payload that several rows share."""
+    light = pages.filter(F.col("bytes") >= min_bytes).groupBy("sha", "bytes")
+    found = light.agg(F.max(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("target"), F.count("*").alias("n"))
+    return _scratch.table(found.filter("n > 1"), "payloads")
+
+
 def write(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """The archives of all pages: archive (name), data (a WARC file of gzip members)."""
     base = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
     base = base.withColumn("bytes", F.length("payload")).withColumn("sha", F.unhex(F.sha1("payload")))
-    same = base.filter(F.col("bytes") >= min_bytes).groupBy("sha", "bytes").agg(F.max("page_id").alias("target"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    joined = base.join(same, ["sha", "bytes"], "left").select("page_id", "url", "payload", "target")
+    same = _targets(base, min_bytes)
+    rows = same.agg(F.sum("n")).first()[0] or 0
+    hot = same.filter(F.col("n") * HOT >= rows).select("sha", "bytes", F.col("target").alias("hot"), F.lit(True).alias("is_hot"))
+    cold = same.filter(F.col("n") * HOT < rows).select(F.col("sha").alias("key"), F.col("bytes").alias("size"), F.col("target").alias("cold"))
+    marked = base.join(F.broadcast(hot), ["sha", "bytes"], "left")
+    own = F.unhex(F.sha2(F.concat_ws("/", F.col("page_id").cast("string"), "url"), 256))
+    marked = marked.withColumn("key", F.when(F.col("is_hot"), own).otherwise(F.col("sha")))
+    joined = marked.join(cold.hint("shuffle_hash"), (marked["key"] == cold["key"]) & (marked["bytes"] == cold["size"]), "left")
+    target = F.coalesce("hot", "cold")
+    joined = joined.select("page_id", "url", "payload", target["page_id"].alias("target"), target["url"].alias("target_url"))
 
     def pack(rows: list[tuple]) -> tuple[str, bytes]:
-        captures = [_capture(page, url, payload) for page, url, payload, _ in rows]
-        targets = [None if target is None or target == page else str(target) for page, _, _, target in rows]
+        captures = [_capture(page, url, payload) for page, url, payload, _, _ in rows]
+        targets = [None if target is None or target == page else _captured(target, url, payload) for page, _, payload, target, url in rows]
         data = convert(write_arc(captures), targets)
         return f"pages-{hashlib.sha1(data).hexdigest()}.warc.gz", data
 
@@ -194,22 +349,25 @@ def write(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
 
 def read(archives: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to, record_id, url of every record."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to, record_id, url of every capture; what a record doesn't tell is null."""
+
+    def number(text: str | None) -> int | None:
+        return int(text) if text and re.fullmatch(r"-?\d+", text) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0):
                 rows = []
                 for fields, block in read_warc(data.as_py()):
-                    _, http, payload = _http(block)
+                    head, http, payload = _http(block) or (b"", {}, block)
                     kind, own = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if kind == "response" and digest(payload) != own:
+                    if kind != "revisit" and digest(payload) != own:
                         raise ValueError(f"damaged payload of {fields['WARC-Record-ID']}")
-                    page, refers = http["X-Page-Id"], fields.get("X-Refers-To-Page-Id")
-                    rows.append((int(page) if page else None, int(http["Content-Length"]), own, kind, int(refers) if refers else None, fields["WARC-Record-ID"], fields["WARC-Target-URI"]))
+                    size = number(http.get("content-length")) if kind == "revisit" else len(payload)
+                    rows.append((number(http.get("x-page-id")), size, own, kind, number(fields.get("X-Refers-To-Page-Id")), fields["WARC-Record-ID"], fields["WARC-Target-URI"]))
                 types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
                 names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "url")
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(types), types)], names)
 
     return archives.select("data").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, url string")
 
