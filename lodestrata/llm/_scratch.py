@@ -39,6 +39,12 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/lodestrata/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def lean(df: DataFrame) -> DataFrame:
     """df, in a session whose batches for Python hold about ``BATCH_BYTES`` unless it has a bound: rows may be long texts."""
     if df.sparkSession.conf.get(_BATCH, None) is None:

@@ -1,7 +1,9 @@
 """Secrets against Python's regular expressions, and the ledger."""
 
 import hashlib
+import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -63,3 +65,55 @@ def test_ledger_scans_unseen_pairs_only(spark):
     assert secrets.update(more, ledger, secrets.BASE)[1].count() == 2
     found, whole = secrets.findings(more, ledger)
     assert whole.count() == 2 and {r["path"]: len(r["spans"]) for r in found.collect()} == {1: 1, 2: 1, 3: 0}
+
+
+def test_many_secrets_in_one_text(spark):
+    """Time grows with the text, not with the square of its secrets."""
+    n = 200_000
+    text = "".join(f"é token=abcdefgh{i:06d} x" for i in range(n))
+    df = spark.createDataFrame([(1, text), (2, "plain")], "doc_id long, text string")
+    began = time.monotonic()
+    rows = {r["doc_id"]: r for r in secrets.document_findings(df).collect()}
+    assert (rows[1]["n_assign"], *base(text)[1:]) == (n, *[rows[1][k] for k in ("n_access", "n_hex", "base_sha256")])
+    assert rows[2]["n_assign"] == 0
+    clean = {r["doc_id"]: r["text"] for r in secrets.redacted(df).collect()}
+    assert clean == {1: "é [SECRET] x" * n, 2: "plain"}
+    assert time.monotonic() - began < 60
+
+
+def test_redaction_across_blocks(spark):
+    """Spans that cross or touch blocks, overlap, or are longer than one."""
+    rng = random.Random(5)
+    parts = ["token=" + "a" * 3000, "😀" * 1018 + "token=abcdefgh", "secret=0123456789abcdef0123456789abcdef0123", "plain é ", "\n", "f" * 40, "x" * 1024]
+    texts = ["".join(rng.choice(parts) + rng.choice([" ", ""]) for _ in range(rng.randint(0, 9))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["path"]: r["spans"] for r in secrets.findings(df)[0].collect()}
+
+    def cut(text, spans):
+        out, at, end = [], 0, 0
+        for x in sorted(spans, key=lambda x: (x["start"], x["end"])):
+            if x["start"] >= end or not out:
+                out += [text[end : x["start"]], "[SECRET]"]
+            end = max(end, x["end"])
+        return "".join([*out, text[end:]])
+
+    got = {r["doc_id"]: r["text"] for r in secrets.redacted(df).collect()}
+    assert got == {i: cut(t, found[i]) for i, t in enumerate(texts)}
+
+
+def test_arrivals_share_a_stored_ledger(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    table = str(tmp_path / "ledger")
+    want = sorted(map(tuple, secrets.document_findings(docs).collect()))
+    assert sorted(map(tuple, secrets.document_findings(docs, table, arrivals=3).collect())) == want
+    blobs = docs.select(F.coalesce("text", F.lit("")).alias("t")).distinct().count()
+    assert secrets.load(spark, table).count() == secrets.load(spark, table).select("blob").distinct().count() == blobs
+    # All is known now: nothing is scanned, and the findings are the same.
+    assert secrets.update(docs, secrets.load(spark, table))[1].isEmpty()
+    assert sorted(map(tuple, secrets.document_findings(docs, table).collect())) == want
+
+
+def test_a_text_that_most_paths_share(spark):
+    rows = [(i, "token=abcdefgh" if i % 2 else f"plain {i}") for i in range(2000)]
+    got = secrets.document_findings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_assign"]) for r in got) == [(i, i % 2) for i in range(2000)]
