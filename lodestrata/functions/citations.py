@@ -20,16 +20,12 @@ def groups(c: Column) -> Column:
 
 def expand(c: Column) -> Column:
     """Numbers of ``1,26-28`` in order, repeats kept; a falling range is empty; other parts are dropped."""
-    parts = F.split(numbers.plain_minus(F.coalesce(c, F.lit(""))), ",")
-
-    def one(part: Column) -> Column:
-        p = F.trim(part)
-        low = F.regexp_extract(p, r"^(\d+)\s*(-|$)", 1).try_cast("int")
-        high = F.when(p.contains("-"), F.regexp_extract(p, r"-\s*(\d+)$", 1).try_cast("int")).otherwise(low)
-        fine = p.rlike(r"^\d+(\s*-\s*\d+)?$") & (low <= high)
-        return F.when(fine, F.sequence(low, F.greatest(low, high))).otherwise(F.array().cast("array<int>"))
-
-    return F.flatten(F.transform(parts, one))
+    none = F.array().cast("array<int>")
+    parts = F.transform(F.split(numbers.plain_minus(F.coalesce(c, F.lit(""))), ","), lambda p: F.trim(p))
+    good = F.filter(parts, lambda p: p.rlike(r"^\d+(\s*-\s*\d+)?$"))
+    # A part's ends are one number or two: read once, then used.
+    ends = F.transform(good, lambda p: F.transform(F.split(p, "-"), lambda n: F.trim(n).try_cast("int")))
+    return F.flatten(F.transform(ends, lambda e: F.when(F.get(e, F.lit(0)) <= F.element_at(e, -1), F.sequence(F.get(e, F.lit(0)), F.element_at(e, -1))).otherwise(none)))
 
 
 def cited(c: Column) -> Column:
