@@ -89,6 +89,11 @@ def table(el: Element, label: str, caption: str, footnotes: str, header: list, b
     return {"table_id": el.get("id", ""), "label": label, "caption": caption, "footnotes": footnotes, "n_columns": width, "n_header": len(header), "ragged": ragged, "cells": cells}
 
 
+def paragraphs(el: Element, *tags: str) -> list[str]:
+    """The texts of an element's paragraphs, each once, in order."""
+    return [t for t in (flat(p) for p in el.iter() if p.tag in tags) if t]
+
+
 class Elsevier:
     """Documents with core data and CALS tables."""
 
@@ -131,7 +136,7 @@ class Elsevier:
         body = root.find(".//body")
         for el in (root if body is None else body).iter("section"):
             if el.find("section") is None and el.find(".//table") is None:
-                yield {"section_id": el.get("id", ""), "title": flat(el.find("section-title")), "text": flat(el)}
+                yield {"section_id": el.get("id", ""), "title": flat(el.find("section-title")), "text": flat(el), "paragraphs": paragraphs(el, "para", "simple-para")}
 
 
 class Jats:
@@ -180,7 +185,7 @@ class Jats:
         body = root.find(".//body")
         for el in (root if body is None else body).iter("sec"):
             if el.find("sec") is None and el.find(".//table-wrap") is None:
-                yield {"section_id": el.get("id", ""), "title": flat(el.find("title")), "text": flat(el)}
+                yield {"section_id": el.get("id", ""), "title": flat(el.find("title")), "text": flat(el), "paragraphs": paragraphs(el, "p")}
 
 
 _DIALECTS: list = [Elsevier(), Jats()]

@@ -20,7 +20,7 @@ PARSED = (
     f"tables array<struct<table_id:string,label:string,caption:string,footnotes:string,n_columns:int,n_header:int,ragged:array<struct<row:int,width:int>>,cells:array<struct<{CELL}>>>>,"
     "figures array<struct<figure_id:string,label:string,caption:string,image_link:string>>,"
     "references array<struct<ref_number:int,authors:array<string>,title:string,journal:string,year:string,raw:string>>,"
-    "sections array<struct<section_id:string,title:string,text:string>>,"
+    "sections array<struct<section_id:string,title:string,text:string,paragraphs:array<string>>>,"
     "error string"
 )
 
