@@ -94,3 +94,9 @@ def webbook_rows(pages: DataFrame) -> DataFrame:
     found = pages.withColumn("w", responses.webbook(F.col("page")))
     values = F.explode(F.create_map(F.lit("Melting_point"), F.col("w.melting"), F.lit("Boiling_point"), F.col("w.boiling"))).alias("property", "value")
     return found.select("name", "cid", values).filter("value is not null").select("name", "cid", "property", "value", F.lit("C").alias("unit"), F.lit("nist").alias("source_db"), F.lit("regex").alias("extractor"), F.lit("ok").alias("status"))
+
+
+def webbook_properties(pages: DataFrame) -> DataFrame:
+    """The rows of webbook_rows with their keys and where they were read."""
+    found = webbook_rows(pages)
+    return found.withColumn("key", F.concat_ws(":", "name", "property", numbers.shortest(F.col("value")), "source_db")).withColumn("data_source", F.lit("")).withColumn("raw_string", F.lit(""))

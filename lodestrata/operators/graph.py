@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.functions import vocab
+from lodestrata.functions import numbers, vocab
 
 
 def merge(df: DataFrame, key: list[str], order: list[str], last: list[str] = (), first: list[str] = (), filled: list[str] = ()) -> DataFrame:
@@ -27,33 +27,144 @@ def edges(df: DataFrame, src: Column, dst: Column, kind: str | Column, *props: C
     return df.select(src.alias("src"), dst.alias("dst"), kind.alias("type"), *props).filter("src is not null and dst is not null").dropDuplicates(["src", "dst", "type"])
 
 
-def nodes(mixtures: DataFrame, measurements: DataFrame, references: DataFrame, components: DataFrame) -> dict[str, DataFrame]:
-    """Node tables by label."""
-    names = mixtures.select("paper_key", "source_row", F.posexplode("components").alias("pos", "name")).filter("name is not null")
-    paper = references.withColumn("origin", F.lit("bibliography")).select("key", "doi", "title", "origin", "ref_number")
-    return {
-        "Component": names.select(F.col("name").alias("key")).distinct().join(components.withColumnRenamed("name", "key"), "key", "left"),
-        "Mixture": mixtures.select(F.col("row_id").alias("key"), "mixture", "ratio_raw", "table_id", "source_row"),
-        "Paper": merge(paper, ["key"], ["ref_number"], last=["title"], first=["origin"], filled=["doi"]),
-        "Measurement": measurements.select(F.col("measurement_key").alias("key"), F.col("property").alias("label"), "value", "unit", "temperature_c", "dedup_key"),
+#: What a lookup tells of a component beyond its identity.
+SCALARS = ("molecular_weight", "tpsa", "xlogp", "complexity", "melting_point_c", "boiling_point_c", "density_g_cm3")
+
+
+def mixture_rows(mixtures: DataFrame, claims: DataFrame | None = None) -> DataFrame:
+    """Mixtures of tables and (of accepted claims) of prose in one shape: mixture, origin, seq (tables first), row_id, ratio_raw, components, ratio, paper_key, ref_numbers, source_keys."""
+    fields = ["mixture", "row_id", "ratio_raw", "components", "ratio", "ratio_flag", "component_flag", "paper_key"]
+    keys_of = F.col("source_keys") if "source_keys" in mixtures.columns else F.array().cast("array<string>")
+    seq = F.struct(F.lit(0).alias("route"), F.coalesce("paper_key", F.lit("")).alias("paper"), "table_pos", "source_row", F.lit(0).alias("draft"))
+    rows = mixtures.select(*fields, F.lit("table").alias("origin"), F.coalesce("ref", F.lit("")).alias("ref_numbers"), keys_of.alias("source_keys"), seq.alias("seq"))
+    if claims is None:
+        return rows.filter("mixture is not null")
+    stated = numbers.ratio(F.coalesce("molar_ratio", F.lit("")))
+    ratio = F.slice(F.concat(stated, F.array_repeat(F.lit(None).cast("double"), F.size("components"))), F.lit(1), F.greatest(F.size("components"), F.lit(1)))
+    told = claims.filter("status = 'ok' and mixture is not null").select(
+        "mixture", "row_id", F.coalesce("molar_ratio", F.lit("")).alias("ratio_raw"), "components", ratio.alias("ratio"), F.lit("").alias("ratio_flag"), F.lit(None).cast("string").alias("component_flag"), "paper_key", F.lit("prose").alias("origin"),
+        F.array_join(F.transform("refs", lambda x: x.cast("string")), ",").alias("ref_numbers"), (F.col("source_keys") if "source_keys" in claims.columns else F.array().cast("array<string>")).alias("source_keys"),
+        F.struct(F.lit(1).alias("route"), F.coalesce("paper_key", F.lit("")).alias("paper"), F.col("section_pos").alias("table_pos"), F.col("draft_pos").alias("source_row"), F.lit(1).alias("draft")).alias("seq"),
+    )
+    return rows.filter("mixture is not null").unionByName(told)
+
+
+def measurement_rows(measurements: DataFrame, claims: DataFrame | None = None) -> DataFrame:
+    """Values of tables and of accepted claims in one shape."""
+    fields = ["key", "mixture", "property", "value", "unit", "temperature_c", "locus", "origin", "plausible", "plausibility_note", "dedup_key", "evidence", "paper_key", "source_keys", "ref_numbers"]
+    rows = measurements.select(
+        F.col("measurement_key").alias("key"), "mixture", "property", "value", "unit", "temperature_c", F.concat_ws(" ", "table_id", F.col("source_row").cast("string")).alias("locus"), F.lit("table").alias("origin"),
+        "plausible", "plausibility_note", "dedup_key", F.lit("").alias("evidence"), "paper_key", "source_keys", F.coalesce("ref", F.lit("")).alias("ref_numbers"),
+    )
+    if claims is None:
+        return rows.select(fields)
+    told = claims.filter("status = 'ok'").select(
+        F.col("measurement_key").alias("key"), "mixture", "property", "value", "unit", "temperature_c", F.trim(F.concat_ws(" ", "section_id", "section_title")).alias("locus"), F.lit("prose").alias("origin"),
+        F.lit(True).alias("plausible"), F.lit("").alias("plausibility_note"), F.lit("").alias("dedup_key"), F.coalesce("source_text", F.lit("")).alias("evidence"), "paper_key",
+        (F.col("source_keys") if "source_keys" in claims.columns else F.array().cast("array<string>")).alias("source_keys"), F.array_join(F.transform("refs", lambda x: x.cast("string")), ",").alias("ref_numbers"),
+    )
+    return rows.select(fields).unionByName(told.select(fields))
+
+
+def _parts(mixed: DataFrame) -> DataFrame:
+    """A row for each component of each mixture row: pos, name, its part of the ratio, role."""
+    each = mixed.select("mixture", "seq", "origin", "ratio", F.posexplode("components").alias("pos", "name")).filter("name is not null")
+    return each.withColumn("part", F.get("ratio", F.col("pos"))).withColumn("role", F.when(F.col("pos") == 0, F.lit("HBA")).otherwise(F.lit("HBD")))
+
+
+def nodes(
+    mixtures: DataFrame, measurements: DataFrame, references: DataFrame, components: DataFrame, claims: DataFrame | None = None, papers: DataFrame | None = None, properties: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Node tables by label.
+
+    Mixtures are known by name: a table row sets what it says and the last one counts, a claim only adds mixtures that no
+    table has. Components keep the route that met them first; lookups fill what they know. Papers are the bibliography,
+    one review node for each paper read, and whatever is cited without an entry. properties: component properties.
+    """
+    mixed = mixture_rows(mixtures, claims)
+    told = measurement_rows(measurements, claims)
+    # By a table the last row's word counts, by prose the first.
+    table_last = F.when(F.col("origin") == "table", F.col("seq"))
+    said = F.struct("row_id", "ratio_raw", "ratio_flag", "component_flag", F.size("components").alias("n_components"), "origin")
+    mixture = mixed.groupBy(F.col("mixture").alias("key")).agg(F.max_by(said, table_last).alias("t"), F.min_by(said, "seq").alias("p")).select("key", F.coalesce("t", "p").alias("s")).select("key", "s.*")
+    component = merge(_parts(mixed).withColumn("key", F.col("name")), ["key"], ["seq", "pos"], first=["origin"]).join(components.withColumnRenamed("name", "key"), "key", "left")
+    listed = references.withColumn("role", F.lit("primary")).select("key", "doi", "title", "role", F.lit(0).alias("rank"), F.col("ref_number").cast("int").alias("ref_number"), "paper_key")
+    cited = told.select(F.explode("source_keys").alias("key")).union(mixed.select(F.explode("source_keys").alias("key"))).distinct()
+    bare = cited.select("key", F.lit(None).cast("string").alias("doi"), F.lit(None).cast("string").alias("title"), F.lit("cited").alias("role"), F.lit(-1).alias("rank"), F.lit(None).cast("int").alias("ref_number"), F.lit("").alias("paper_key"))
+    every = listed.unionByName(bare)
+    if papers is not None:
+        own = papers.select(F.col("paper_key").alias("key"), F.col("paper_doi").alias("doi"), "title", F.lit("review").alias("role"), F.lit(1).alias("rank"), F.lit(None).cast("int").alias("ref_number"), "paper_key")
+        every = every.unionByName(own)
+    out = {
+        "Component": component,
+        "Mixture": mixture,
+        "Paper": merge(every, ["key"], ["rank", "paper_key", "ref_number"], last=["role"], filled=["doi", "title"]),
+        "Measurement": merge(told.withColumn("label", F.col("property")), ["key"], ["origin", "paper_key", "mixture"], last=["label", "value", "unit", "temperature_c", "locus", "origin", "plausible", "plausibility_note", "dedup_key", "evidence"]),
     }
+    if properties is not None:
+        fine = properties.filter("status = 'ok'").join(component.select(F.col("key").alias("name")), "name", "left_semi")
+        kept = ["name", "property", "value", "unit", "temperature_c", "pressure", "qualifier", "raw_string", "extractor"]
+        out["ComponentProperty"] = merge(fine, ["key"], ["name", "property"], last=kept)
+        base = fine.select(F.col("source_db").alias("key"), F.lit("database").alias("kind"), F.lit(0).alias("rank"))
+        told_by = fine.filter("coalesce(data_source, '') <> ''").select(F.col("data_source").alias("key"), F.lit("attribution").alias("kind"), F.lit(1).alias("rank"))
+        out["Source"] = merge(base.unionByName(told_by).filter("key is not null"), ["key"], ["rank"], first=["kind"])
+    return out
 
 
-def relations(mixtures: DataFrame, measurements: DataFrame) -> DataFrame:
-    """PART_OF (with the role: the first component accepts hydrogen bonds, others donate), HAS_<PROPERTY>, REPORTED_IN."""
-    parts = mixtures.select("row_id", F.posexplode("components").alias("pos", "name")).filter("name is not null")
-    role = F.when(F.col("pos") == 0, F.lit("HBA")).otherwise(F.lit("HBD"))
-    none = F.lit(None).cast("string").alias("role")
-    has = F.concat(F.lit("HAS_"), F.upper("property"))
-    sources = measurements.select("measurement_key", F.explode("source_keys").alias("paper"))
-    return reduce(
-        DataFrame.unionByName,
-        [
-            edges(parts, F.col("name"), F.col("row_id"), "PART_OF", role.alias("role")),
-            edges(measurements, F.col("row_id"), F.col("measurement_key"), has, none),
-            edges(sources, F.col("measurement_key"), F.col("paper"), "REPORTED_IN", none),
-        ],
-    )
+_PROPS = ("role", "molar_ratio", "temperature_c", "ref_numbers", "data_source")
+
+
+def _edge(df: DataFrame, src: str, dst: str, kind: str | Column, last: Column, **props: Column) -> DataFrame:
+    """Each edge once, with the properties of its last row."""
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    types = {"molar_ratio": "double", "temperature_c": "double"}
+    values = [props.get(p, F.lit(None)).cast(types.get(p, "string")).alias(p) for p in _PROPS]
+    rows = df.select(F.col(src).alias("src"), F.col(dst).alias("dst"), kind.alias("type"), last.alias("__seq"), F.struct(*values).alias("__p")).filter("src is not null and dst is not null")
+    return rows.groupBy("src", "dst", "type").agg(F.max_by("__p", "__seq").alias("p")).select("src", "dst", "type", "p.*")
+
+
+def relations(mixtures: DataFrame, measurements: DataFrame, claims: DataFrame | None = None, components: DataFrame | None = None, properties: DataFrame | None = None) -> DataFrame:
+    """All edges, each once: PART_OF (the first component accepts hydrogen bonds, others donate), HAS_<PROPERTY>, REPORTED_IN, REVIEW_PAPER.
+
+    components (key) and properties add the components' own values, those of component nodes and with status ok only.
+    """
+    mixed, told = mixture_rows(mixtures, claims), measurement_rows(measurements, claims)
+    parts = _parts(mixed)
+    named = told.join(mixed.select("mixture").distinct(), "mixture", "left_semi")
+    own = F.struct("origin", "paper_key")
+    reported = named.select("key", "origin", "paper_key", "ref_numbers", F.explode("source_keys").alias("paper"))
+    mixed_reported = mixed.select("mixture", "seq", "ref_numbers", F.explode("source_keys").alias("paper"))
+    found = [
+        _edge(parts, "name", "mixture", "PART_OF", F.col("seq"), role=F.col("role"), molar_ratio=F.col("part")),
+        _edge(mixed, "mixture", "paper_key", "REVIEW_PAPER", F.col("seq")),
+        _edge(mixed_reported, "mixture", "paper", "REPORTED_IN", F.col("seq"), ref_numbers=F.col("ref_numbers")),
+        _edge(named, "mixture", "key", F.concat(F.lit("HAS_"), F.upper("property")), own, temperature_c=F.col("temperature_c")),
+        _edge(named, "key", "paper_key", "REVIEW_PAPER", own),
+        _edge(reported, "key", "paper", "REPORTED_IN", own, ref_numbers=F.col("ref_numbers")),
+    ]
+    if properties is not None and components is not None:
+        fine = properties.filter("status = 'ok'").join(components.select(F.col("key").alias("name")), "name", "left_semi")
+        told_by = fine.filter("coalesce(data_source, '') <> ''")
+        found += [
+            _edge(fine, "name", "key", F.concat(F.lit("HAS_"), F.upper("property")), F.col("key"), data_source=F.col("data_source")),
+            _edge(fine, "key", "source_db", "REPORTED_IN", F.col("key")),
+            _edge(told_by, "key", "data_source", "REPORTED_IN", F.col("key")),
+        ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def load(
+    mixtures: DataFrame, measurements: DataFrame, references: DataFrame, components: DataFrame, claims: DataFrame | None, papers: DataFrame, properties: DataFrame | None, prose: bool = True
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """(nodes by label, relations) of the whole graph; without prose its claims stay out. Writing the result again gives the same graph."""
+    told = claims if prose else None
+    found = nodes(mixtures, measurements, references, components, told, papers, properties)
+    return found, relations(mixtures, measurements, told, found["Component"], properties)
+
+
+def long_nodes(found: dict[str, DataFrame]) -> DataFrame:
+    """label, key and properties (JSON) of all nodes: one table that a graph store loads in bulk."""
+    return reduce(DataFrame.unionByName, [df.select(F.lit(label).alias("label"), "key", F.to_json(F.struct(*[c for c in df.columns if c != "key"])).alias("properties")) for label, df in found.items()])
 
 
 def component_edges(rows: DataFrame, components: DataFrame) -> DataFrame:

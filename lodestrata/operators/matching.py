@@ -73,5 +73,5 @@ def ladder(*steps: tuple[Column, str], otherwise: str) -> Column:
 
 
 def sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """n rows by the least keyed hash: the same on every run and split."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n rows by the least keyed SHA-256: the same on every run and split, and for anyone who knows key and seed."""
+    return df.orderBy(F.sha2(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))), 256), key).limit(n)

@@ -111,4 +111,5 @@ def tally(rows: DataFrame, column: str = "status", order: tuple[str, ...] = voca
 
 def unresolved_names(rows: DataFrame) -> DataFrame:
     """Names that no lookup knows, most used first."""
-    return rows.select(F.explode("unresolved").alias("name")).groupBy("name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "name")
+    each = rows.select(F.explode("unresolved").alias("name")).select(F.trim("name").alias("name")).filter("name <> ''")
+    return each.groupBy("name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "name")

@@ -12,7 +12,7 @@ from lodestrata.operators import matching
 
 
 def fidelity(measurements: DataFrame, reread: DataFrame) -> DataFrame:
-    """Each measurement with the problem that reading its cell again shows, null if none.
+    """Each stored measurement with the problem that reading its cell again shows, null if none.
 
     reread: paper_key, table_id, source_row, source_col, value, temperature_c as derived anew from the source.
     """
@@ -58,20 +58,44 @@ def duplicates(df: DataFrame, key: list[str], value: Column, paper: Column, row:
     """Groups of several rows with one key: counts, distinct values, whether papers differ and values agree."""
     grouped = df.groupBy(*key).agg(
         F.count("*").alias("n_rows"),
-        F.countDistinct(paper).alias("n_papers"),
+        F.collect_set(paper).alias("papers"),
         F.sort_array(F.collect_set(F.bround(value, 6))).alias("values"),
         F.sort_array(F.collect_set(row)).alias("row_ids"),
     )
-    groups = grouped.filter("n_rows > 1").withColumn("cross_paper", F.col("n_papers") > 1).withColumn("agree", F.size("values") <= 1)
+    groups = grouped.filter("n_rows > 1").withColumn("n_papers", F.size("papers")).drop("papers").withColumn("cross_paper", F.col("n_papers") > 1).withColumn("agree", F.size("values") <= 1)
     return groups.orderBy(F.desc("cross_paper"), "agree", *key)
 
 
 def review_queue(*kinds: tuple[int, str, DataFrame]) -> DataFrame:
-    """One worklist from (priority, kind, rows of detail, rows_affected), most urgent and largest first."""
-    parts = [df.select(F.lit(p).alias("priority"), F.lit(k).alias("kind"), F.substring("detail", 1, 200).alias("detail"), F.col("rows_affected").cast("long").alias("rows_affected")) for p, k, df in kinds]
+    """One worklist from (priority, kind, rows of detail, rows_affected and perhaps paper_key), most urgent and largest first, verdicts still open."""
+    parts = [
+        df.select(
+            F.lit(p).alias("priority"), F.lit(k).alias("kind"), F.substring("detail", 1, 200).alias("detail"), F.col("rows_affected").cast("long").alias("rows_affected"),
+            (F.col("paper_key") if "paper_key" in df.columns else F.lit("")).alias("paper_key"), F.lit("").alias("verdict"),
+        )
+        for p, k, df in kinds
+    ]
     return reduce(DataFrame.unionByName, parts).orderBy("priority", F.desc("rows_affected"), "kind", "detail")
 
 
+def review_kinds(unhandled: DataFrame, claims: DataFrame, unresolved: DataFrame, measurements: DataFrame, references: DataFrame) -> tuple[tuple[int, str, DataFrame], ...]:
+    """The kinds of the review queue: what hangs most on a decision comes first.
+
+    unhandled: label, status, n_rows; unresolved: name, n; references: ref_number, doi, title, title_agreement.
+    """
+    one = F.lit(1).alias("rows_affected")
+    said = F.format_string("%s %s = %s %s: %s", "mixture", "property", F.col("value").cast("string"), F.coalesce("unit", F.lit("")), "plausibility_note")
+    doubtful = F.format_string("ref %s %s: title agreement %s -- %s", F.col("ref_number").cast("string"), F.coalesce("doi", F.lit("")), F.col("title_agreement").cast("string"), F.substring("title", 1, 60))
+    claimed = F.format_string("%s %s = %s", F.array_join("components", "; "), "property", F.col("value").cast("string"))
+    return (
+        (1, "table not extracted", unhandled.select(F.concat_ws(": ", F.coalesce("label", "table_id"), "status").alias("detail"), F.coalesce("n_rows", F.lit(0)).alias("rows_affected"), "paper_key")),
+        (2, "unresolved abbreviation", unresolved.select(F.format_string("'%s': add it to the alias file if the paper defines it", "name").alias("detail"), F.col("n").alias("rows_affected"))),
+        (3, "implausible value", measurements.filter("not plausible").select(said.alias("detail"), one, "paper_key")),
+        (4, "doubtful Crossref match", references.filter("title_agreement < 0.5").select(doubtful.alias("detail"), one, "paper_key")),
+        (5, "prose value not in the text", claims.filter("status = 'unverified'").select(claimed.alias("detail"), one, "paper_key")),
+    )
+
+
 def spot_check(measurements: DataFrame, answered: DataFrame, n: int = 20, seed: int = 0) -> DataFrame:
     """Source rows still to be looked at: a keyed sample of n less those with a verdict, and their values."""
     keyed = measurements.withColumn("review_key", F.concat_ws(":", "table_id", "source_row"))

@@ -116,11 +116,13 @@ def property_cells(rows: DataFrame) -> DataFrame:
 
 
 def measurements(mixture_rows: DataFrame, bounds: DataFrame, sources: DataFrame | None = None) -> DataFrame:
-    """A row for each value, with its keys and whether it is plausible. sources: row_id, source_keys, source_dois."""
+    """A row for each value, with its keys and whether it is plausible. sources: row_id, source_keys, source_dois, unless the mixtures hold them."""
     cells = property_cells(mixture_rows).filter("value is not null")
-    if sources is None:
-        sources = cells.select("row_id").distinct().withColumn("source_keys", F.array().cast("array<string>")).withColumn("source_dois", F.array().cast("array<string>"))
-    joined = cells.join(sources, "row_id", "left").join(bounds.select("property", "low", "high"), "property", "left")
+    if sources is not None:
+        cells = cells.join(sources, "row_id", "left")
+    elif "source_keys" not in cells.columns:
+        cells = cells.withColumn("source_keys", F.array().cast("array<string>")).withColumn("source_dois", F.array().cast("array<string>"))
+    joined = cells.join(bounds.select("property", "low", "high"), "property", "left")
     doi = F.try_element_at("source_dois", F.lit(1))
     key = keys.dedup_key(F.col("components"), F.col("ratio_raw"), F.col("property"), F.col("value"), F.col("temperature_c"), doi)
     return joined.select(

@@ -1,7 +1,15 @@
-"""The corpus store: a Parquet table for each kind, partitioned by slug, so one paper is rewritten alone."""
+"""The corpus store: a Parquet table for each kind, partitioned by slug, so one paper is rewritten alone.
+
+A paper that a run covers has one marker row in each kind's partition beside its data. So a paper that now yields no
+rows replaces its old ones like any other, in the same distributed write; readers of this module leave markers out.
+Kinds of the whole corpus aren't partitioned and are replaced whole.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,29 +17,73 @@ from pyspark.sql.window import Window
 from lodestrata.functions import text
 
 KINDS = ("mixtures", "measurements", "references", "figures", "tables_unhandled", "skipped_rows", "sections_llm", "papers")
+CORPUS_KINDS = ("components", "component_properties", "duplicates", "review_queue", "aliases", "acceptance", "invariants", "graph_nodes", "graph_relations")
+MARKER = "no_rows"
 
 
 def path_for(base: str, kind: str) -> str:
     """The folder of a kind; an unknown kind is an error."""
-    if kind not in KINDS:
-        raise ValueError(f"unknown kind {kind!r}; known: {', '.join(KINDS)}")
+    if kind not in KINDS + CORPUS_KINDS:
+        raise ValueError(f"unknown kind {kind!r}; known: {', '.join(KINDS + CORPUS_KINDS)}")
     return f"{base.rstrip('/')}/{kind}"
 
 
+def exists(spark: SparkSession, base: str, kind: str) -> bool:
+    """Whether a kind was ever written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path_for(base, kind))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def _checked(df: DataFrame) -> DataFrame:
     key = text.blank_to_null(F.trim(F.col("paper_key")))
     return df.withColumn("paper_key", F.when(key.isNotNull(), F.col("paper_key")).otherwise(F.raise_error(F.lit("a row without paper_key"))))
 
 
-def write(df: DataFrame, base: str, kind: str) -> None:
-    """Replaces the papers (slugs) that df holds and leaves the others; a row without paper_key is an error."""
-    _checked(df).write.partitionBy("slug").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path_for(base, kind))
+def write(df: DataFrame, base: str, kind: str, papers: DataFrame | None = None) -> None:
+    """Replaces the papers (slugs) that df holds, and those of papers (slug, paper_key) that it holds nothing of; others stay.
+
+    A row without paper_key is an error.
+    """
+    rows = _checked(df).withColumn(MARKER, F.lit(False))
+    if papers is not None:
+        rows = rows.unionByName(_checked(papers.select("slug", "paper_key").distinct()).withColumn(MARKER, F.lit(True)), allowMissingColumns=True)
+    rows.write.partitionBy("slug").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path_for(base, kind))
+
+
+def cutter(base: str) -> tuple[Callable[[DataFrame, str], DataFrame], Callable[[], None]]:
+    """(cut, drop): cut(df, name) writes df beside the store and reads it again; drop() removes all that it wrote."""
+    made: list[tuple[SparkSession, str]] = []
+
+    def cut(df: DataFrame, name: str) -> DataFrame:
+        path = f"{base.rstrip('/')}/_work/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        made.append((df.sparkSession, path))
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def drop() -> None:
+        for spark, path in made:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        made.clear()
+
+    return cut, drop
+
+
+def write_corpus(df: DataFrame, base: str, kind: str) -> None:
+    """Replaces a kind of the whole corpus."""
+    if kind not in CORPUS_KINDS:
+        raise ValueError(f"{kind!r} is no kind of the whole corpus; known: {', '.join(CORPUS_KINDS)}")
+    df.write.mode("overwrite").parquet(path_for(base, kind))
 
 
 def read_all(spark: SparkSession, base: str, kind: str, schema: str | None = None) -> DataFrame:
     """All papers' rows; a row without paper_key is an error."""
     reader = spark.read.schema(schema) if schema else spark.read
-    return _checked(reader.parquet(path_for(base, kind)))
+    found = reader.option("mergeSchema", True).parquet(path_for(base, kind))
+    if kind in CORPUS_KINDS:
+        return found
+    rows = _checked(found)
+    return rows.filter(~F.coalesce(MARKER, F.lit(False))).drop(MARKER) if MARKER in rows.columns else rows
 
 
 def read_paper(spark: SparkSession, base: str, kind: str, slug: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """A file stream over a folder of XML documents. Each micro-batch runs the batch route for its papers alone.
 
-This adds incremental arrival to the batch stages. A batch that is run
-again after a failure replaces the same papers, so the sink stays exact.
+This adds incremental arrival to the batch stages. A batch that is run again after a failure replaces the same papers,
+those included that now yield no rows, so the sink stays exact. Names in prose are resolved by what the batch and the
+store's other papers use.
 """
 
 from __future__ import annotations
@@ -28,12 +29,17 @@ def start(spark: SparkSession, folder: str, base: str, checkpoint: str, inputs:
     """Writes each arriving paper's mixtures, measurements, references and figures to the store."""
 
     def batch(found: DataFrame, number: int) -> None:
+        session = found.sparkSession
         parsed = xml.parse(found).persist()
-        out = pipeline.run(parsed, inputs(found.sparkSession))
-        shared = [df.persist() for df in (out.references, out.mixtures, out.measurements)]
-        for kind, df in out.outputs().items():
-            store.write(df, base, kind)
-        for df in (parsed, *shared):
-            df.unpersist()
+        known = store.read_all(session, base, "mixtures") if store.exists(session, base, "mixtures") else None
+        cut, drop = store.cutter(base)
+        out = pipeline.run(parsed, inputs(session), known=known, cut=cut)
+        slugs = out.papers.select("slug", "paper_key")
+        # Claims are resolved by the stored mixtures, so these are replaced last.
+        kinds = out.outputs()
+        for kind in sorted(kinds, key=lambda k: k == "mixtures"):
+            store.write(kinds[kind], base, kind, slugs)
+        parsed.unpersist()
+        drop()
 
     return documents(spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

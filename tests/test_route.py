@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.functions import vocab
-from lodestrata.operators import graph, profile, prose, quality, tables
-from lodestrata.plans import pipeline
+from lodestrata.operators import graph, profile, prose, quality, references, tables
+from lodestrata.plans import driver, pipeline
 from lodestrata.sources import dialects, responses, store, xml
 from lodestrata.streaming import ingest
 from tests import documents as docs
@@ -59,11 +59,12 @@ def inputs(spark, asked=None, cards=None, raw=None):
 
 
 @pytest.fixture(scope="module")
-def route(spark, folder, parsed):
+def route(spark, folder, parsed, tmp_path_factory):
     good = xml.accepted(parsed)
     cards = profile.cards(xml.cells(good), xml.tables(good)).persist()
     asked = prose.requests(prose.chosen(xml.sections(good)), "injected", "none")
-    out = pipeline.run(parsed, inputs(spark, asked, cards, docs.prose_response(*(c for c, _ in CLAIMS))))
+    cut, _ = store.cutter(str(tmp_path_factory.mktemp("work")))
+    out = pipeline.run(parsed, inputs(spark, asked, cards, docs.prose_response(*(c for c, _ in CLAIMS))), cut=cut)
     for f in dataclasses.fields(out):
         if f.name != "index":
             getattr(out, f.name).persist()
@@ -82,6 +83,11 @@ def test_parse(parsed):
     assert refs == {1: "Density of solvents", 2: "New title", 3: "Third work"}
 
 
+def test_paragraphs(parsed):
+    found = {(r["slug"], r["section_id"]): r["paragraphs"] for r in xml.sections(parsed).collect()}
+    assert found["one", "s3"] == ["Leaf text."] and found["jats_one", "a"] == ["Text."] and len(found["one", "s1"]) == 1 and found["one", "s1"][0].startswith("ChCl:Urea")
+
+
 def test_cells(parsed):
     cells = {(r["part"], r["row"], r["col"]): r for r in xml.cells(parsed).filter("slug = 'one' and table_id = 't1'").collect()}
     assert len(cells) == 5 * 11
@@ -182,7 +188,11 @@ def test_quality(route):
     assert found == {"missing_paper_key": 0, "duplicate_key": 0, "orphan_citation": 0, "dangling_measurement": 0}
     assert route.duplicates().count() >= 1
     queue = route.queue().collect()
-    assert queue[0]["kind"] == "implausible" and [r["priority"] for r in queue] == sorted(r["priority"] for r in queue)
+    assert [r["priority"] for r in queue] == sorted(r["priority"] for r in queue)
+    kinds = {r["priority"]: r["kind"] for r in queue}
+    assert kinds == {1: "table not extracted", 2: "unresolved abbreviation", 3: "implausible value", 5: "prose value not in the text"}
+    assert {r["detail"].split(":")[0] for r in queue if r["priority"] == 2} == {"'Unknownium'"}
+    assert all(r["paper_key"] for r in queue if r["priority"] != 2) and {r["verdict"] for r in queue} == {""}
     answers = route.papers.sparkSession.createDataFrame([("10.1000/one", "yes")], "paper_key string, correct string")
     verdict = {r["paper_key"]: r for r in quality.verdict(route.measurements, route.fidelity(), answers, sample=1, most=0.3).collect()}
     assert verdict["10.1000/one"]["accepted"] and not verdict["10.1000/two"]["accepted"]
@@ -238,3 +248,125 @@ def test_stream(spark, tmp_path, parsed):
     query.awaitTermination(180)
     assert query.exception() is None
     assert store.read_all(spark, str(tmp_path / "store"), "measurements").count() == 4
+
+
+def test_store_forgets_what_a_paper_no_longer_yields(spark, tmp_path):
+    base = str(tmp_path)
+    one = spark.createDataFrame([("k1", "a", 1), ("k2", "b", 2)], "paper_key string, slug string, v int")
+    papers = one.select("slug", "paper_key")
+    store.write(one, base, "mixtures", papers)
+    store.write(one.filter("slug = 'a' and v > 1"), base, "mixtures", papers.filter("slug = 'a'"))
+    assert [(r["slug"], r["v"]) for r in store.read_all(spark, base, "mixtures").collect()] == [("b", 2)]
+    store.write(one.limit(0), base, "mixtures", papers)
+    assert store.read_all(spark, base, "mixtures").count() == 0 and store.read_paper(spark, base, "mixtures", "a").count() == 0
+
+
+def test_fidelity_reads_stored_rows(route):
+    stored = route.measurements.withColumn("value", F.when(F.col("source_row") == 1, F.lit(7.0)).otherwise(F.col("value")))
+    stored = stored.withColumn("temperature_c", F.when(F.col("source_row") == 2, F.lit(1.0)).otherwise(F.col("temperature_c"))).withColumn("source_col", F.when(F.col("source_row") == 8, F.lit(99)).otherwise(F.col("source_col")))
+    problems = {r["source_row"]: r["problem"] for r in route.fidelity(stored).filter("slug = 'one'").collect()}
+    assert problems == {0: None, 1: "value differs", 2: "temperature differs", 8: "no such cell"}
+
+
+def test_repeated_answers_leave_references_alone(spark, parsed):
+    bibliography = xml.bibliography(xml.accepted(parsed))
+    given = inputs(spark)
+    twice = references.enriched(bibliography, given.searches.unionByName(given.searches), given.works.unionByName(given.works.withColumn("doi", F.lit("https://doi.org/10.5/A"))))
+    assert sorted(map(str, twice.collect())) == sorted(map(str, references.enriched(bibliography, given.searches, given.works).collect()))
+
+
+def test_graph_of_all_routes(spark, route):
+    lookups = spark.createDataFrame([("Urea", "57-13-6", 60.06)], "name string, cas string, molecular_weight double")
+    lines = spark.createDataFrame([("Urea:Density:1.3:X", "Urea", "Density", 1.3, "ok", "pubchem", "A handbook"), ("Nobody:Density:1:", "Nobody", "Density", 1.0, "ok", "pubchem", ""), ("Urea:Density:9:", "Urea", "Density", 9.0, "unverified", "pubchem", "")], "key string, name string, property string, value double, status string, source_db string, data_source string")
+    lines = lines.withColumns({c: F.lit("") for c in ("unit", "pressure", "qualifier", "raw_string", "extractor")}).withColumn("temperature_c", F.lit(None).cast("double"))
+    found, relations = graph.load(route.mixtures, route.measurements, route.references, lookups, route.claims, route.papers, lines)
+    rows = {label: {r["key"]: r for r in df.collect()} for label, df in found.items()}
+    edges = {(r["src"], r["type"], r["dst"]): r for r in relations.collect()}
+    assert all(graph.unique(df).isEmpty() for df in found.values())
+    # One review node for each paper that was read, the bibliography's works, and edges only between nodes.
+    assert {k for k, r in rows["Paper"].items() if r["role"] == "review"} == {r["paper_key"] for r in route.papers.collect()}
+    every = {k for nodes in rows.values() for k in nodes}
+    assert all(src in every and dst in every for src, _, dst in edges)
+    # The accepted claim is in the graph with its sentence; tables keep the mixture that both name.
+    claim = next(r for r in route.claims.collect() if r["status"] == "ok" and r["slug"] == "one")
+    assert rows["Measurement"][claim["measurement_key"]]["origin"] == "prose" and rows["Measurement"][claim["measurement_key"]]["evidence"] == claim["source_text"]
+    assert (claim["mixture"], "HAS_DENSITY", claim["measurement_key"]) in edges
+    assert rows["Mixture"]["Choline chloride:Urea 1:2"]["origin"] == "table"
+    assert (claim["mixture"], "REVIEW_PAPER", "10.1000/one") in edges
+    # Component values: attributed, of known components, accepted ones only.
+    assert set(rows["ComponentProperty"]) == {"Urea:Density:1.3:X"} and {k: r["kind"] for k, r in rows["Source"].items()} == {"pubchem": "database", "A handbook": "attribution"}
+    assert ("Urea:Density:1.3:X", "REPORTED_IN", "A handbook") in edges and edges["Urea", "HAS_DENSITY", "Urea:Density:1.3:X"]["data_source"] == "A handbook"
+    assert edges["Urea", "PART_OF", "Choline chloride:Urea 1:2"]["molar_ratio"] == 2.0 and rows["Component"]["Urea"]["molecular_weight"] == 60.06
+    without = graph.load(route.mixtures, route.measurements, route.references, lookups, route.claims, route.papers, None, prose=False)[0]
+    assert claim["measurement_key"] not in {r["key"] for r in without["Measurement"].collect()}
+
+
+def test_prose_adds_mixtures_but_changes_none(spark, route):
+    base = route.mixtures.filter("slug = 'one' and source_row = 0")
+    claims = route.claims.filter("slug = 'one' and draft_pos = 0").withColumn("status", F.lit("ok"))
+    own = claims.withColumn("mixture", F.lit("Only:Prose 1:1")).unionByName(claims.withColumn("mixture", base.select("mixture").first()[0] and F.lit(base.select("mixture").first()[0])))
+    nodes = {r["key"]: r for r in graph.nodes(base, route.measurements.limit(0), route.references, spark.createDataFrame([], "name string, cas string"), own)["Mixture"].collect()}
+    assert nodes["Only:Prose 1:1"]["origin"] == "prose" and nodes[base.first()["mixture"]]["row_id"] == "one:t1:0001"
+
+
+def test_driver(spark, folder, parsed, tmp_path):
+    good = xml.accepted(parsed)
+    cards = profile.cards(xml.cells(good), xml.tables(good)).persist()
+    asked = prose.requests(prose.chosen(xml.sections(good)), "injected", "none")
+    given = dataclasses.replace(
+        inputs(spark, asked, cards, docs.prose_response(*(c for c, _ in CLAIMS))),
+        lines=spark.createDataFrame([("Urea", "1176", "Density", "Density", "1.32 g/cm3", "A handbook", "Urea", "Urea", "pubchem")], pipeline.LINES),
+        line_responses=spark.createDataFrame([("Urea", json.dumps({"properties": [{"line": 0, "property": "Density", "value": 1.32, "unit": "g/cm3", "temperature_C": None, "pressure": "", "qualifier": "", "applies_to": ""}]}))], "name string, raw string"),
+        pages=spark.createDataFrame([("Urea", "1176", "T fus 405.85 K")], pipeline.PAGES),
+    )
+    base = str(tmp_path)
+    with pytest.raises(ValueError, match="no DOI"):
+        driver.run(spark, folder, base, given, "refs")
+    report = driver.run(spark, folder, base, given, "all,aliases", continue_on_error=True)
+    assert report.done == list(pipeline.ORDER) and {name for name, _ in report.failed} == {"no_doi", "odd", "broken"}
+    properties = {r["key"]: r["value"] for r in store.read_all(spark, base, "component_properties").filter("status = 'ok'").collect()}
+    assert sorted(properties.values()) == [1.32, 132.7]
+    assert store.read_all(spark, base, "components").filter("name = 'Urea'").first()["lookup_status"] == "not_found"
+    assert {r["label"] for r in store.read_all(spark, base, "graph_nodes").select("label").distinct().collect()} == {"Component", "Mixture", "Paper", "Measurement", "ComponentProperty", "Source"}
+    assert store.read_all(spark, base, "review_queue").filter("kind = 'table not extracted'").count() > 0
+    assert store.read_all(spark, base, "acceptance").filter("mismatches > 0").count() == 0
+    before = sorted(map(str, store.read_all(spark, base, "graph_relations").collect()))
+    # The same run again changes nothing; a stored value that the source doesn't bear out is found.
+    assert driver.run(spark, folder, base, given, "graph", continue_on_error=True).done == ["graph"]
+    assert sorted(map(str, store.read_all(spark, base, "graph_relations").collect())) == before
+    wrong = store.read_all(spark, base, "measurements").filter("slug = 'one'").withColumn("value", F.col("value") + 1).toPandas()
+    schema = store.read_all(spark, base, "measurements").schema
+    store.write(spark.createDataFrame(wrong, schema), base, "measurements")
+    driver.run(spark, folder, base, given, "validate", continue_on_error=True)
+    assert {r["paper_key"]: r["mismatches"] for r in store.read_all(spark, base, "acceptance").collect()}["10.1000/one"] == 4
+
+
+def test_driver_passes_over_a_failing_step(spark, folder, tmp_path):
+    broken = dataclasses.replace(inputs(spark), answers=spark.range(1))
+    report = driver.run(spark, folder, str(tmp_path), broken, "validate,figures", continue_on_error=True)
+    assert report.done == ["figures"] and [n for n, _ in report.failed][-1] == "validate"
+
+
+def test_stream_resolves_by_the_whole_store(spark, tmp_path, parsed):
+    """A paper without tables names a component that an earlier paper's table holds; a paper that loses its table loses its rows."""
+    source, base = tmp_path / "in", str(tmp_path / "store")
+    source.mkdir()
+    (source / "one.xml").write_text(docs.elsevier())
+    good = xml.accepted(parsed)
+    cards = profile.cards(xml.cells(good), xml.tables(good)).persist()
+    bare = docs.elsevier("10.1000/late").replace("<caption>Solvents</caption>", "<caption>Without a profile</caption>")
+    late = xml.sections(xml.accepted(xml.parse(spark.createDataFrame([("late", "late.xml", bytearray(bare.encode()))], "slug string, path string, content binary"))))
+    asked = prose.requests(prose.chosen(late), "injected", "none")
+    given = lambda s: inputs(s, asked, cards, docs.prose_response({"value": 1.2, "source_text": "x"}))
+
+    def go():
+        query = ingest.start(spark, str(source), base, str(tmp_path / "checkpoint"), given)
+        query.awaitTermination(240)
+        assert query.exception() is None
+
+    go()
+    # The late paper's own table has no profile that is accepted, so its names are known from the first paper alone.
+    (source / "late.xml").write_text(bare)
+    go()
+    told = store.read_paper(spark, base, "sections_llm", "late").first()
+    assert told["components"] == ["Choline chloride", "Urea"] and told["component_status"] == "resolved"
