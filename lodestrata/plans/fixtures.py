@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lodestrata.functions import citations, keys, names, numbers, text, units
-from lodestrata.operators import graph, matching, quality, tables
-from lodestrata.sources import store
+from lodestrata.operators import aliases, components, graph, matching, profile, prose, quality, resolve, tables
+from lodestrata.sources import caches, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,25 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _cell(col: int, value: Column) -> Column:
+    """A body cell as the table route has it."""
+    none = F.array().cast("array<string>")
+    return F.struct(F.lit(col).alias("col"), value.cast("string").alias("text"), none.alias("markers"), none.alias("lines"), none.alias("ref_ids"))
+
+
+def _profile(*columns: tuple[str, str]) -> Column:
+    """A profile whose columns have these (role, header or property)."""
+    listed = [{"index": i, "header": name, "role": role, "property": name if role == "property" else None, "unit_as_written": None, "component_role": None, "context_field": None, "multi_valued": False} for i, (role, name) in enumerate(columns)]
+    whole = {"relevant": True, "record_type": "des_properties", "reason": "", "header_row_count": 1, "columns": listed, "footnote_markers": [], "missing_value_tokens": [], "default_temperature_C": None}
+    return F.from_json(F.lit(json.dumps(whole)), profile.PROFILE)
+
+
+def _grid(df: DataFrame, paper: Column, cells: Column, *columns: tuple[str, str]) -> DataFrame:
+    """df's rows as rows of a table of a paper, with a profile."""
+    named = {"paper_key": paper.cast("string"), "slug": paper.cast("string"), "table_pos": F.lit(0), "table_id": F.lit("t"), "source_row": F.lit(0), "cells": cells, "profile": _profile(*columns)}
+    return df.withColumns(named)
+
+
 def _text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
@@ -52,8 +71,12 @@ SELECT p_partkey, 'p_size' AS property, p_size::DOUBLE AS value FROM part
 UNION ALL SELECT p_partkey, 'p_retailprice', p_retailprice FROM part
 """)
 def q02_wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _read(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
-    return part.unpivot("p_partkey", ["p_size", "p_retailprice"], "property", "value").filter("value is not null")
+    part = _read(spark, sf_dir, "part")
+    cells = F.array(_cell(0, F.col("p_size")), _cell(1, F.col("p_retailprice")))
+    rows = _grid(part, F.col("p_partkey"), cells, ("property", "p_size"), ("property", "p_retailprice"))
+    mixed = rows.withColumns({"row_id": F.col("paper_key"), "mixture": F.lit(""), "paper_doi": F.lit(""), "components": F.array().cast("array<string>"), "ratio": F.array().cast("array<double>"), "ratio_raw": F.lit(""), "ref": F.lit("")})
+    bounds = spark.createDataFrame([], "property string, low double, high double")
+    return tables.measurements(mixed, bounds).select(F.col("paper_key").cast("long").alias("p_partkey"), "property", "value")
 
 
 @_query("""
@@ -61,7 +84,11 @@ SELECT user_id, max(value) FILTER (event_type = 'view') AS view, max(value) FILT
   max(value) FILTER (event_type = 'purchase') AS purchase FROM events GROUP BY user_id
 """)
 def q03_long_to_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "events").groupBy("user_id").pivot("event_type", ["view", "click", "purchase"]).agg(F.max("value"))
+    names_of = {"view": "Density", "click": "Viscosity", "purchase": "Conductivity"}
+    prop = F.try_element_at(F.create_map(*[F.lit(x) for pair in names_of.items() for x in pair]), F.col("event_type"))
+    none = {"unit": F.lit(""), "temperature_c": F.lit(25.0), "source_col": F.lit(0)}
+    measured = _read(spark, sf_dir, "events").select(F.col("user_id").alias("row_id"), F.coalesce(prop, F.lit("Other")).alias("property"), "value").withColumns(none)
+    return tables.wide(measured).select(F.col("row_id").alias("user_id"), *[F.col(f"{p}_value").alias(e) for e, p in names_of.items()])
 
 
 @_query(r"""
@@ -149,10 +176,11 @@ SELECT CASE WHEN l_quantity < 5 THEN 'qualitative' WHEN l_returnflag = 'R' THEN
   WHEN l_linestatus = 'O' THEN 'unresolved_components' ELSE 'ok' END AS status, count(*) AS n FROM lineitem GROUP BY ALL
 """)
 def q12_status_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = matching.ladder(
-        (F.col("l_quantity") < 5, "qualitative"), (F.col("l_returnflag") == "R", "unverified"), (F.col("l_discount") > 0.08, "duplicate"), (F.col("l_linestatus") == "O", "unresolved_components"), otherwise="ok"
-    )
-    return _read(spark, sf_dir, "lineitem").groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+    claims = _read(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_quantity") >= 5, F.col("l_quantity")).alias("value"), (F.col("l_returnflag") != "R").alias("verified"), F.when(F.col("l_discount") > 0.08, "x").alias("duplicate_of"),
+        F.when(F.col("l_linestatus") == "O", "partial").otherwise("resolved").alias("component_status"),
+    )
+    return prose.tally(claims.withColumn("status", prose.status()))
 
 
 @_query("""
@@ -177,18 +205,18 @@ def q14_canonical_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-WITH a AS (SELECT c_name, concat('alias ', c_custkey) AS name FROM customer WHERE c_custkey % 5 = 0),
-b AS (SELECT regexp_replace(lower(c_name), '[^a-z0-9]', '', 'g') AS k, min(concat('table ', c_custkey)) AS name FROM customer WHERE c_custkey % 3 = 0 GROUP BY 1)
+WITH a AS (SELECT lower(c_name) AS k, min(concat('alias ', c_custkey)) AS name FROM customer WHERE c_acctbal > 5000 GROUP BY 1),
+b AS (SELECT regexp_replace(lower(c_name), '[^a-z0-9]', '', 'g') AS k, min(concat('table ', c_custkey)) AS name FROM customer WHERE c_mktsegment < 'C' GROUP BY 1)
 SELECT c.c_custkey, coalesce(a.name, b.name) AS name, CASE WHEN a.name IS NOT NULL THEN 'alias' WHEN b.name IS NOT NULL THEN 'alnum' ELSE 'unresolved' END AS how
-FROM customer c LEFT JOIN a ON a.c_name = c.c_name LEFT JOIN b ON b.k = regexp_replace(lower(c.c_name), '[^a-z0-9]', '', 'g')
+FROM customer c LEFT JOIN a ON a.k = lower(c.c_name) LEFT JOIN b ON b.k = regexp_replace(lower(c.c_name), '[^a-z0-9]', '', 'g')
 """)
 def q15_resolve_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _read(spark, sf_dir, "customer").withColumn("k", names.alnum_key(F.col("c_name")))
-    alias = c.filter("c_custkey % 5 = 0").select("c_name", _text("alias ", F.col("c_custkey")).alias("by_alias"))
-    table = c.filter("c_custkey % 3 = 0").groupBy("k").agg(F.min(_text("table ", F.col("c_custkey"))).alias("by_alnum"))
-    joined = c.join(alias, "c_name", "left").join(table, "k", "left")
-    how = matching.ladder((F.col("by_alias").isNotNull(), "alias"), (F.col("by_alnum").isNotNull(), "alnum"), otherwise="unresolved")
-    return joined.select("c_custkey", F.coalesce("by_alias", "by_alnum").alias("name"), how.alias("how"))
+    c = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    alias = c.filter("c_acctbal > 5000").groupBy(F.lower("c_name").alias("k")).agg(F.min(_text("alias ", F.col("c_custkey"))).alias("name"))
+    table = c.filter("c_mktsegment < 'C'").groupBy(names.alnum_key(F.col("c_name")).alias("k")).agg(F.min(_text("table ", F.col("c_custkey"))).alias("name"))
+    none = spark.createDataFrame([], "k string, name string")
+    found = resolve.resolve(c, "c_name", resolve.Index(aliases=alias, canonical=none, alnum=table, prose=none))
+    return found.select("c_custkey", F.col("resolved").alias("name"), "how")
 
 
 @_query("""
@@ -213,11 +241,11 @@ def q17_candidates_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-SELECT token, count(*) AS n FROM (SELECT trim(unnest(string_split(text, ','))) AS token FROM documents) WHERE token <> '' AND length(token) <= 12 GROUP BY token
+SELECT token, count(*) AS n FROM (SELECT trim(unnest(string_split(text, ','))) AS token FROM documents) WHERE token <> '' GROUP BY token
 """)
 def q18_unresolved_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    token = F.explode(F.transform(F.split("text", ","), lambda x: F.trim(x))).alias("token")
-    return _read(spark, sf_dir, "documents").select(token).filter("token <> ''").groupBy("token").agg(F.count("*").alias("n"))
+    listed = _read(spark, sf_dir, "documents").select(F.split("text", ",").alias("unresolved"))
+    return prose.unresolved_names(listed).withColumnRenamed("name", "token")
 
 
 @_query(r"""
@@ -274,10 +302,9 @@ def q24_merge_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("""
 SELECT c_name, p_name, l_quantity FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
-WHERE l_quantity > 45
 """)
 def q25_graph_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _read(spark, sf_dir, "lineitem").filter("l_quantity > 45").select("l_orderkey", "l_partkey", "l_quantity")
+    lines = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     steps = ((_read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "l_orderkey", "o_orderkey"), (_read(spark, sf_dir, "customer").select("c_custkey", "c_name"), "o_custkey", "c_custkey"), (_read(spark, sf_dir, "part").select("p_partkey", "p_name"), "l_partkey", "p_partkey"))
     return graph.path(lines, *steps).select("c_name", "p_name", "l_quantity")
 
@@ -303,14 +330,17 @@ def q28_review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = _read(spark, sf_dir, "customer").filter("c_acctbal < 0").groupBy(F.col("c_mktsegment").alias("detail")).agg(F.count("*").alias("rows_affected"))
     keyed = _read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"), F.min("l_returnflag").alias("detail")).filter("n > 1")
     weak = _read(spark, sf_dir, "labels").filter("quality = 0").groupBy(_text("toxic ", F.col("toxic")).alias("detail")).agg(F.count("*").alias("rows_affected"))
-    return quality.review_queue((1, "implausible", bad), (2, "duplicate_key", keyed.groupBy("detail").agg(F.count("*").alias("rows_affected"))), (3, "weak_label", weak))
+    queue = quality.review_queue((1, "implausible", bad), (2, "duplicate_key", keyed.groupBy("detail").agg(F.count("*").alias("rows_affected"))), (3, "weak_label", weak))
+    return queue.select("priority", "kind", "detail", "rows_affected")
 
 
 @_query(r"""
-SELECT source, avg(CASE WHEN regexp_matches(text, '\d') THEN 1 ELSE 0 END)::DOUBLE AS fraction, count(*) AS n FROM documents GROUP BY source
+SELECT source, avg(CASE WHEN regexp_matches(text, '\d') THEN 1 ELSE 0 END)::DOUBLE AS fraction, count(*) AS n FROM documents
+WHERE trim(text) NOT IN ('–', '—', '-', '−', '') GROUP BY source
 """)
 def q29_numeric_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "documents").groupBy("source").agg(F.avg(F.col("text").rlike(r"\d").cast("int")).alias("fraction"), F.count("*").alias("n"))
+    cells = _read(spark, sf_dir, "documents").select(F.col("source").alias("paper_key"), F.lit("t").alias("table_id"), F.lit("body").alias("part"), F.lit(0).alias("row"), F.lit(0).alias("col"), "text")
+    return profile.numeric_share(cells).select(F.col("paper_key").alias("source"), F.col("share").alias("fraction"), F.col("filled").alias("n"))
 
 
 @_query("""
@@ -354,18 +384,19 @@ def q34_html_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "pages").select("page_id", text.html_title(F.col("html")).alias("title"))
 
 
-@_query(None)
+@_query("SELECT doc_id FROM documents ORDER BY sha256(concat(doc_id, ':0')), doc_id LIMIT 50")
 def q35_seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.sample(_read(spark, sf_dir, "documents").select("doc_id"), "doc_id", 50)
 
 
 @_query("""
-WITH o AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders)
-SELECT o_orderkey, concat(o_custkey, ':', lpad(n::VARCHAR, 4, '0')) AS row_id FROM o
+SELECT o_orderkey, concat(o_custkey, ':t:', lpad(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey)::VARCHAR, 4, '0')) AS row_id FROM orders
 """)
 def q36_dense_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))
-    return _read(spark, sf_dir, "orders").withColumn("n", n).select("o_orderkey", F.format_string("%d:%04d", "o_custkey", "n").alias("row_id"))
+    orders = _read(spark, sf_dir, "orders")
+    rows = _grid(orders, F.col("o_custkey"), F.array(_cell(0, F.col("o_orderstatus"))), ("component", "HBA")).withColumn("source_row", F.col("o_orderkey")).withColumn("reason", F.lit(None).cast("string"))
+    papers = spark.createDataFrame([], "paper_key string, paper_doi string")
+    return tables.mixtures(rows, papers).select(F.col("source_row").alias("o_orderkey"), "row_id")
 
 
 @_query("""
@@ -409,11 +440,15 @@ def q39_read_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-SELECT l_returnflag, count(*) FILTER (l_linenumber = 1) AS first_lines, count(*) FILTER (l_linenumber > 1) AS other_lines, count(DISTINCT l_orderkey) AS sources FROM lineitem GROUP BY l_returnflag
+SELECT CASE l_linenumber WHEN 1 THEN 'single' WHEN 2 THEN 'binary' ELSE 'ternary' END AS what, count(*) AS n FROM lineitem GROUP BY 1
+UNION ALL SELECT l_returnflag, count(*) FROM lineitem GROUP BY 1
+UNION ALL SELECT 'away from default temperature', count(*) FROM lineitem WHERE l_quantity <> 25
 """)
 def q40_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = F.col("l_linenumber") == 1
-    return _read(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count_if(first).alias("first_lines"), F.count_if(~first).alias("other_lines"), F.countDistinct("l_orderkey").alias("sources"))
+    lines = _read(spark, sf_dir, "lineitem")
+    listed = F.array_repeat(F.lit("x"), F.least("l_linenumber", F.lit(3)).cast("int"))
+    mixed = lines.select(listed.alias("components"), F.lit(None).cast("string").alias("component_flag"))
+    return tables.tallies(mixed, lines.select(F.col("l_returnflag").alias("property"), F.col("l_quantity").alias("temperature_c")))
 
 
 @_query("""
@@ -440,12 +475,13 @@ def q42_first_of_each(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 7 = 0 UNION ALL
-SELECT o_orderkey, o_custkey, 'old' FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 7 <> 0
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01' UNION ALL
+SELECT o_orderkey, o_custkey, 'old' FROM orders WHERE o_orderdate < TIMESTAMP '1995-01-01' OR o_orderdate IS NULL
 """)
 def q43_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return store.upsert(orders.filter("o_orderkey % 5 = 0").withColumn("o_orderstatus", F.lit("old")), orders.filter("o_orderkey % 7 = 0"), "o_orderkey")
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    arrivals = orders.filter("o_orderdate >= TIMESTAMP '1995-01-01'").drop("o_orderdate")
+    return store.upsert(orders.drop("o_orderdate").withColumn("o_orderstatus", F.lit("old")), arrivals, "o_orderkey")
 
 
 @_query("""
@@ -453,3 +489,215 @@ SELECT doc_id, len(list_distinct(list_filter(string_split(trim(regexp_replace(te
 """)
 def q44_squashed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "documents").select("doc_id", F.size(F.array_distinct(F.filter(F.split(text.squash(F.col("text")), " "), lambda x: x != ""))).alias("n_words"))
+
+
+@_query("""
+SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'header' WHEN p_size % 4 = 1 THEN 'no component' END AS reason FROM part
+""")
+def q45_left_out_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F14, P-2: repeated headers and rows without a component."""
+    kind = F.col("p_size") % 4
+    part = _read(spark, sf_dir, "part").select(F.col("p_brand").alias("paper_key"), F.col("p_brand").alias("slug"), F.lit(0).alias("table_pos"), F.lit("t").alias("table_id"), F.lit("body").alias("part"), F.col("p_partkey").cast("int").alias("row"), kind.alias("kind"), "p_name")
+    texts = F.array(F.when(F.col("kind") == 0, " hba ").when(F.col("kind") == 1, " ").otherwise(F.col("p_name")), F.when(F.col("kind") == 0, "Ratio").otherwise("1:2"))
+    none = F.array().cast("array<string>")
+    cells = part.select("*", F.posexplode(texts).alias("col", "text")).withColumns({"markers": none, "lines": none, "ref_ids": none})
+    known = part.select("paper_key", "table_id").distinct()
+    found = known.withColumn("ragged", F.array().cast("array<struct<row:int,width:int>>"))
+    rows = tables.profiled_rows(cells, found, known.withColumn("profile", _profile(("component", "HBA"), ("ratio", "Ratio"))))
+    return rows.select(F.col("source_row").cast("long").alias("p_partkey"), "reason")
+
+
+@_query("""
+SELECT event_id, CASE event_type WHEN 'view' THEN 'g*cm^-3' WHEN 'click' THEN 'mPa*s' ELSE 'mN*m^-1' END AS unit FROM events
+""")
+def q46_column_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a column's unit as written, else its property's."""
+    written = F.when(F.col("event_type") == "view", "(g/cm3)").when(F.col("event_type") == "click", "").otherwise("( mN/m )")
+    prop = F.when(F.col("event_type") == "click", "Viscosity").otherwise("Density")
+    return _read(spark, sf_dir, "events").select("event_id", units.unit_of(written, prop).alias("unit"))
+
+
+@_query("""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+  substr(sha1(concat(CASE WHEN lower(l_returnflag) < 'b' THEN concat(lower(l_returnflag), '+b') ELSE concat('b+', lower(l_returnflag)) END, '|1:2|Density|', l_quantity::BIGINT, '|', l_linenumber, '|10.1/', l_suppkey)), 1, 16) AS dedup_key FROM lineitem
+""")
+def q47_dedup_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the key of a datum, whatever the order of its components."""
+    named = F.array(F.lit(" B "), F.col("l_returnflag"), F.lit(None).cast("string"), F.lit(" "))
+    key = keys.dedup_key(named, F.lit("1:2"), F.lit("Density"), F.col("l_quantity"), F.col("l_linenumber").cast("double"), _text("10.1/", F.col("l_suppkey")))
+    return _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", key.alias("dedup_key"))
+
+
+@_query("""
+WITH t AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN []::INT[] ELSE [l_linenumber + 1, l_linenumber] END AS a,
+  CASE WHEN l_returnflag = 'A' THEN []::INT[] WHEN l_returnflag = 'N' THEN [40, l_linenumber] ELSE [50, 49, 50] END AS b FROM lineitem)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, array_to_string(list_sort(list_distinct(CASE WHEN len(list_intersect(a, b)) > 0 THEN list_intersect(a, b) WHEN len(a) > 0 THEN a ELSE b END)), ',') AS refs,
+  CASE WHEN len(list_intersect(a, b)) > 0 THEN 'agreed' WHEN len(a) > 0 THEN 'text' WHEN len(b) > 0 THEN 'llm' ELSE 'none' END AS how FROM t
+""")
+def q48_harvested_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """what text and model both cite, else the text, else the model."""
+    n, none = F.col("l_linenumber").cast("int"), F.array().cast("array<int>")
+    a = F.when(n % 3 == 0, none).otherwise(F.array(n + 1, n))
+    b = F.when(F.col("l_returnflag") == "A", none).when(F.col("l_returnflag") == "N", F.array(F.lit(40), n)).otherwise(F.array(F.lit(50), F.lit(49), F.lit(50)))
+    lines = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", citations.harvest(a, b).alias("h"))
+    return lines.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.array_join(F.transform("h.refs", lambda x: x.cast("string")), ",").alias("refs"), "h.how")
+
+
+@_query(r"""
+SELECT p_partkey, p_size % 3 <> 0 AND length(trim(p_name)) >= 4 AND regexp_matches(p_name, '[a-z]{3}')
+  AND NOT regexp_matches(p_name, '\b(acids|salts?|halides|bromides|chlorides|iodides|compounds?|derivatives|analogues|mixtures?|species|based)\b', 'i') AS chemical FROM part
+""")
+def q49_looks_chemical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """names worth a lookup; abbreviations in capitals and classes aren't."""
+    name = F.when(F.col("p_size") % 3 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
+    return _read(spark, sf_dir, "part").select("p_partkey", names.chemical(name).alias("chemical"))
+
+
+@_query("SELECT p_partkey, p_size + 0.5::DOUBLE AS density FROM part")
+def q50_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F32: the first string that states a density."""
+    strings = F.array(F.lit("denser than water"), _text(F.col("p_size"), ".5 g/cu cm at 20 C"), F.lit("9.9 g/mL"))
+    return _read(spark, sf_dir, "part").select("p_partkey", units.density(strings).alias("density"))
+
+
+@_query("""
+SELECT p_partkey AS id, CASE WHEN p_size % 6 = 0 THEN 'rejected' WHEN p_size % 6 = 1 THEN 'conflicts_with_table' WHEN p_size % 6 = 2 THEN 'new' WHEN p_size % 6 = 3 THEN 'deliberately_unresolved'
+  WHEN p_size % 6 = 4 THEN 'agrees' ELSE 'conflicts_with_file' END AS verdict, p_brand < 'Brand#3' AS name_in_table FROM part
+""")
+def q51_alias_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Definitions held against the tables and the alias file."""
+    kind = F.col("p_size") % 6
+    part = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), _text("A", F.col("p_partkey")).alias("abbreviation"), F.col("p_brand").alias("name"), kind.alias("kind"))
+    found = part.select("id", "abbreviation", "name", F.lower("abbreviation").alias("k"), F.when(F.col("kind") == 0, "rejected").otherwise("candidate").alias("status"))
+    other = F.when(F.col("kind") == 4, F.upper("name")).when(F.col("kind") == 5, F.lit("another"))
+    file = part.filter("kind in (0, 3, 4, 5)").select(F.col("abbreviation").alias("abbr"), other.alias("name"))
+    hints = part.filter("kind = 1").select(F.col("abbreviation").alias("name"), F.lit("Something").alias("candidate"), F.lit(1).alias("n"))
+    used = part.filter("name < 'Brand#3'").select(F.array("name", F.lit(None).cast("string")).alias("components"))
+    return aliases.checked(found, file, used, hints).select("id", "verdict", "name_in_table")
+
+
+@_query("""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN l_returnflag = 'A' THEN 'no such cell' WHEN l_discount > 0.05 THEN 'value differs' WHEN l_linestatus = 'F' THEN 'temperature differs' END AS problem
+FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey, l_linenumber) AS c FROM lineitem) WHERE c = 1
+""")
+def q52_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored values against cells read again."""
+    one = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    lines = _read(spark, sf_dir, "lineitem")
+    lines = lines.join(lines.groupBy(*one).count().filter("count = 1").drop("count"), one, "left_semi")
+    at = {"paper_key": F.col("l_orderkey"), "table_id": F.col("l_partkey"), "source_row": F.col("l_suppkey"), "source_col": F.col("l_linenumber")}
+    stored = lines.select(*one, *[c.alias(k) for k, c in at.items()], F.col("l_quantity").alias("value"), F.lit(25.0).alias("temperature_c"))
+    again = lines.filter("l_returnflag <> 'A'").select(*[c.alias(k) for k, c in at.items()], (F.col("l_quantity") + F.when(F.col("l_discount") > 0.05, 1).otherwise(0)).alias("value"), F.when(F.col("l_linestatus") != "F", 25.0).alias("temperature_c"))
+    return quality.fidelity(stored, again).select(*one, "problem")
+
+
+@_query("""
+SELECT event_id, CASE WHEN value < 10 THEN 'qualitative' WHEN event_type = 'view' THEN 'unverified' WHEN user_id % 2 = 0 THEN 'different_substance' WHEN event_type = 'click' THEN 'unhandled_unit' ELSE 'ok' END AS status FROM events
+""")
+def q53_component_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first reason that keeps a component's property out."""
+    drafts = _read(spark, sf_dir, "events").select(
+        "event_id", F.when(~(F.col("value") < 10), F.col("value")).alias("value"), (F.col("event_type") != "view").alias("verified"), F.when(F.col("user_id") % 2 == 0, "its hydrate").alias("applies_to"),
+        F.lit("Density").alias("property"), F.when(F.col("event_type") != "click", "g*cm^-3").alias("unit"),
+    )
+    return drafts.select("event_id", components.status().alias("status"))
+
+
+@_query("""
+SELECT 1 AS priority, 'table not extracted' AS kind, concat(p_brand, ': ', p_type) AS detail, p_size::BIGINT AS rows_affected, p_partkey::VARCHAR AS paper_key FROM part WHERE p_size < 10
+UNION ALL SELECT 2, 'unresolved abbreviation', concat(chr(39), r_name, chr(39), ': add it to the alias file if the paper defines it'), r_regionkey::BIGINT, '' FROM region
+UNION ALL SELECT 3, 'implausible value', concat(c_name, ' Density = ', c_nationkey, ' C: ', c_mktsegment), 1, c_custkey::VARCHAR FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT 4, 'doubtful Crossref match', concat('ref ', s_suppkey, ' ', s_name, ': title agreement 0.25 -- ', substr(s_name, 1, 60)), 1, 's' FROM supplier WHERE s_acctbal < 1000
+UNION ALL SELECT 5, 'prose value not in the text', concat(n_name, ' Viscosity = ', n_nationkey), 1, n_regionkey::VARCHAR FROM nation WHERE n_nationkey < 12
+""")
+def q54_review_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What people have to look at, by kind and urgency."""
+    tables_left = _read(spark, sf_dir, "part").filter("p_size < 10").select(F.col("p_brand").alias("label"), F.lit("").alias("table_id"), F.col("p_type").alias("status"), F.col("p_size").alias("n_rows"), F.col("p_partkey").cast("string").alias("paper_key"))
+    unresolved = _read(spark, sf_dir, "region").select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("n"))
+    measured = _read(spark, sf_dir, "customer").select(F.col("c_name").alias("mixture"), F.lit("Density").alias("property"), F.col("c_nationkey").alias("value"), F.lit("C").alias("unit"), F.col("c_mktsegment").alias("plausibility_note"), (F.col("c_acctbal") >= 0).alias("plausible"), F.col("c_custkey").cast("string").alias("paper_key"))
+    refs = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("ref_number"), F.col("s_name").alias("doi"), F.when(F.col("s_acctbal") < 1000, 0.25).alias("title_agreement"), F.col("s_name").alias("title"), F.lit("s").alias("paper_key"))
+    claims = _read(spark, sf_dir, "nation").select(F.array("n_name").alias("components"), F.lit("Viscosity").alias("property"), F.col("n_nationkey").alias("value"), F.when(F.col("n_nationkey") < 12, "unverified").otherwise("ok").alias("status"), F.col("n_regionkey").cast("string").alias("paper_key"))
+    queue = quality.review_queue(*quality.review_kinds(tables_left, claims, unresolved, measured, refs))
+    return queue.select("priority", "kind", "detail", "rows_affected", "paper_key")
+
+
+@_query("""
+WITH p AS (SELECT l_suppkey, count(*) AS n, count(DISTINCT (l_orderkey, l_linenumber)) AS source_rows, avg(CASE WHEN l_discount > 0.09 THEN 1 ELSE 0 END) AS bad, count(*) FILTER (l_quantity > 49.5) AS mismatches FROM lineitem GROUP BY l_suppkey),
+s AS (SELECT s_suppkey, 30::BIGINT AS reviewed, 0 AS wrong FROM supplier WHERE s_acctbal > 0)
+SELECT l_suppkey, n, mismatches, coalesce(reviewed, 0) AS reviewed, mismatches = 0 AND bad < 0.1 AND coalesce(reviewed, 0) >= least(20, source_rows) AS accepted FROM p LEFT JOIN s ON s_suppkey = l_suppkey
+""")
+def q55_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of each paper and whether it is accepted."""
+    lines = _read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("paper_key"), F.col("l_orderkey").alias("table_id"), F.col("l_linenumber").alias("source_row"), (~(F.col("l_discount") > 0.09)).alias("plausible"), F.when(F.col("l_quantity") > 49.5, "x").alias("problem"))
+    seen = _read(spark, sf_dir, "supplier").filter("s_acctbal > 0").select(F.col("s_suppkey").alias("paper_key"), F.lit("yes").alias("correct"), F.explode(F.array_repeat(F.lit(1), 30)))
+    out = quality.verdict(lines, lines, seen, most=0.1)
+    return out.select(F.col("paper_key").alias("l_suppkey"), "n", "mismatches", "reviewed", "accepted")
+
+
+@_query("""
+SELECT min(accepted) AS accepted FROM (SELECT count(*) FILTER (s_acctbal < -999) = 0 AS accepted FROM supplier GROUP BY s_nationkey)
+""")
+def q56_all_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether every paper is accepted."""
+    by = _read(spark, sf_dir, "supplier").groupBy("s_nationkey").agg((F.count_if(F.col("s_acctbal") < -999) == 0).alias("accepted"))
+    return quality.all_accepted(by)
+
+
+@_query("""
+WITH m AS (SELECT o_orderkey, concat('mix ', o_custkey) AS mixture, o_custkey::VARCHAR AS paper, o_orderstatus, o_orderpriority, o_orderdate FROM orders),
+parts AS (SELECT mixture, o_orderstatus AS name, 'HBA' AS role, o_orderkey, 0 AS pos FROM m UNION ALL SELECT mixture, o_orderpriority, 'HBD', o_orderkey, 1 FROM m),
+e AS (
+  SELECT name AS src, mixture AS dst, 'PART_OF' AS type, arg_max(role, (o_orderkey, pos)) AS role FROM parts GROUP BY ALL
+  UNION ALL SELECT DISTINCT mixture, paper, 'REVIEW_PAPER', NULL FROM m
+  UNION ALL SELECT DISTINCT mixture, concat('k', o_orderstatus), 'REPORTED_IN', NULL FROM m
+  UNION ALL SELECT mixture, concat('v', o_orderkey), 'HAS_DENSITY', NULL FROM m
+  UNION ALL SELECT concat('v', o_orderkey), paper, 'REVIEW_PAPER', NULL FROM m
+  UNION ALL SELECT concat('v', o_orderkey), concat('k', o_orderstatus), 'REPORTED_IN', NULL FROM m
+)
+SELECT src, dst, type, role FROM e
+""")
+def q57_graph_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of mixtures and values, each once, labelled by property, the first component as acceptor."""
+    none = F.lit(None).cast("string")
+    base = _read(spark, sf_dir, "orders").select("o_orderkey", _text("mix ", F.col("o_custkey")).alias("mixture"), F.col("o_custkey").cast("string").alias("paper_key"), F.array(_text("k", F.col("o_orderstatus"))).alias("source_keys"), F.array("o_orderstatus", "o_orderpriority").alias("components"), F.lit("").alias("ref"))
+    mixed = base.withColumns({"row_id": F.col("o_orderkey").cast("string"), "ratio_raw": F.lit(""), "ratio": F.array().cast("array<double>"), "ratio_flag": F.lit(""), "component_flag": none, "table_pos": F.lit(0), "source_row": F.col("o_orderkey")})
+    told = base.withColumns({"measurement_key": _text("v", F.col("o_orderkey")), "property": F.lit("Density"), "value": F.lit(1.0), "unit": none, "temperature_c": F.lit(25.0), "table_id": none, "source_row": F.col("o_orderkey"), "plausible": F.lit(True), "plausibility_note": none, "dedup_key": none})
+    return graph.relations(mixed, told).select("src", "dst", "type", "role")
+
+
+@_query("""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN l_quantity * 1000.0::DOUBLE WHEN 1 THEN l_quantity * 0.001::DOUBLE WHEN 2 THEN l_quantity - 273.15::DOUBLE END AS value,
+  CASE l_linenumber % 4 WHEN 0 THEN 'mPa*s' WHEN 1 THEN 'g*cm^-3' WHEN 2 THEN 'C' END AS unit FROM lineitem
+""")
+def q58_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values in their property's unit; null where the written unit isn't known."""
+    k = F.col("l_linenumber") % 4
+    prop = F.when(k == 0, "Viscosity").when(k == 1, "Density").when(k == 2, "Melting_point").otherwise("Conductivity")
+    unit = F.when(k == 0, "Pa s").when(k == 1, "kg/m3").when(k == 2, "K").otherwise("furlong")
+    lines = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", units.convert(prop, F.col("l_quantity"), unit).alias("v"))
+    return lines.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "v.value", "v.unit")
+
+
+@_query("""
+SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'melting point' WHEN 1 THEN 'density' END AS name, CASE p_size % 3 WHEN 0 THEN p_size + 1.5::DOUBLE WHEN 1 THEN p_size * 10.0::DOUBLE END AS value,
+  CASE p_size % 3 WHEN 0 THEN '°C' WHEN 1 THEN 'g/cm3' END AS unit, CASE p_size % 3 WHEN 0 THEN 'dec. air' WHEN 1 THEN 'Temp: 20' END AS comment FROM part
+""")
+def q59_registry_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Property strings of a registry."""
+    n, k = F.col("p_size"), F.col("p_size") % 3
+    name = F.when(k == 0, "Melting Point").when(k == 1, "Density").otherwise("Odour")
+    stated = F.when(k == 0, _text(n, "-", n + 3, " °C  dec. air")).otherwise(_text(n, " x 10 g/cm3 Temp: 20"))
+    return _read(spark, sf_dir, "part").select("p_partkey", units.cas_property(name, stated).alias("v")).select("p_partkey", "v.*")
+
+
+@_query("""
+SELECT s_suppkey AS identifier, CASE s_nationkey % 4 WHEN 0 THEN 'crossref' WHEN 1 THEN 'elsevier' WHEN 2 THEN 'unpaywall' END AS route FROM supplier
+""")
+def q60_first_full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first route that answered with a full text."""
+    wanted = _read(spark, sf_dir, "supplier").select(_text("10.1/", F.col("s_suppkey")).alias("identifier"), (F.col("s_nationkey") % 4).alias("k"))
+    each = wanted.select("identifier", "k", F.posexplode(F.array(*[F.lit(r) for r in caches.ROUTES])).alias("pos", "route"))
+    whole, stub = F.concat(F.lit("<doc><body>"), F.repeat(F.lit("x"), 20_000)), F.lit("<doc><coredata/></doc>")
+    attempts = each.select("identifier", "route", F.when(F.col("pos") > F.col("k"), 403).otherwise(200).alias("status"), F.when(F.col("pos") >= F.col("k"), whole).otherwise(stub).cast("binary").alias("content"))
+    found = caches.fetched(wanted.select("identifier"), attempts)
+    return found.select(F.substring("identifier", 6, 20).cast("long").alias("identifier"), "route")
