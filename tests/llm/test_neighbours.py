@@ -58,3 +58,35 @@ def test_odd_rows(spark):
     assert neighbours.search(table.limit(0), table).count() == 0 and neighbours.search(table, table.limit(0)).count() == 0
     lone = table.filter("vec_id = 20")
     assert neighbours.search(lone, lone).count() == 0
+
+
+def test_clusters_need_few_lists(spark):
+    """Where vectors form clusters the share of lists that is probed falls as they grow in number, and recall stays."""
+    rng = np.random.default_rng(4)
+    shares = []
+    for n in (2_000, 16_000):
+        centres = rng.standard_normal((n // 20, 32))
+        x = centres[rng.integers(0, len(centres), n)] + 0.2 * rng.standard_normal((n, 32))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        rows = [(i, [float(v) for v in r]) for i, r in enumerate(x.astype(np.float32))]
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+        index = neighbours.fit(neighbours.usable(table), n)
+        shares.append(index.probes / len(index.centroids))
+        got = neighbours.search(table, table.filter("vec_id % 20 = 0")).collect()
+        assert recall(rows, got) >= 0.9
+    assert shares[1] < shares[0] and shares[1] < 0.2
+
+
+def test_chunks_tighten_the_bound(monkeypatch):
+    """Candidates taken in small chunks, all dimensions counted: what is found is exact."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((500, 24))
+    q, ids = x[:30], np.arange(500)
+    norm2 = float((x * x).sum(1).max())
+    index = neighbours.Index(norm2, np.linalg.qr(rng.standard_normal((25, 25)))[0], x[:1], 1)
+    monkeypatch.setattr(neighbours, "CHUNK", 40)
+    monkeypatch.setattr(neighbours, "EPSILON", 50)
+    got = neighbours.scan(index, ids, x, ids[:30], q, np.full(30, np.inf), 20)
+    for i in range(30):
+        own = got[got["query_id"] == i]
+        assert own["vec_id"].tolist() == [j for j, _ in exact(ids, x, i, q[i], 20)]
