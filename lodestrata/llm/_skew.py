@@ -16,11 +16,10 @@ SALTS = 64
 
 
 def heavy(rows: DataFrame, key: str) -> list:
-    """The keys (at most ``HOT``) that hold 1 / HOT or more of the rows."""
-    counts = rows.groupBy(key).agg(F.count("*").alias("__n"))
-    total = rows.select(F.count("*").alias("__all"))
-    found = counts.join(F.broadcast(total), F.col("__n") * HOT >= F.col("__all")).filter(F.col(key).isNotNull())
-    return [r[0] for r in found.select(key).collect()]
+    """The keys (at most ``HOT``) that hold 1 / HOT or more of the rows (a written table: it is read twice)."""
+    total = rows.count()
+    counts = rows.groupBy(key).agg(F.count("*").alias("__n")).filter((F.col("__n") * HOT >= total) & F.col(key).isNotNull())
+    return [r[0] for r in counts.select(key).limit(HOT).collect()]
 
 
 def join(rows: DataFrame, side: DataFrame, key: str, how: str = "inner", hot: list | None = None, by: tuple[str, ...] = ()) -> DataFrame:

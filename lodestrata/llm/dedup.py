@@ -11,18 +11,20 @@ Buckets only propose. Every link is confirmed on the full sets:
 2. Each class is held against the bucket's class of least and of greatest id. That is linear in the bucket, and
    settles buckets of up to three classes altogether.
 3. Classes linked so far form components. A larger bucket that still holds several components goes, with its full
-   sets, to tasks over pairs of blocks of at most ``block`` classes. There each class outside the largest
-   component is held against all classes of the block at once by counting shared runs. Nothing is capped: pairs
-   within a component are skipped because they cannot change it.
+   sets, to tasks over pairs of blocks of about ``block`` classes each, one of them of classes outside the bucket's
+   largest component: so the largest is copied once for each block outside it, and not at all against itself. There
+   each class outside the largest is held against all classes of both blocks at once by counting shared runs. Nothing
+   is capped: pairs within a component are skipped because they cannot change it.
 
-Components come from min-label propagation with pointer jumping; no links or labels reach the driver.
+Components come from min-label propagation with pointer jumping; no links or labels reach the driver. Where rows meet
+by a bucket, a hub, a label or a fingerprint that a large share of them may have, ``_skew`` deals them over several tasks.
 
 Defined results: a null or empty text, or one without words, has an empty set, is linked with nothing and is its
 own component. A text with fewer than ``n`` words has its whole sequence as its one run. Rows that repeat a doc_id
 are one node of the graph: what links any of them links all, also those without words. Where they differ in text,
 ``keep_one`` judges each text by itself, so no text goes for what another text of its doc_id is near to. A row whose
 doc_id is null takes no part: its component is null and it is kept. Other columns, whatever their names, play no
-role in the result.
+role in the result. Texts of any length are taken whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,13 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm import _bytes, _scratch
+from lodestrata.llm import _bytes, _scratch, _skew
 
 N_WORDS = 5
 PERMUTATIONS = 64
 ROWS = 4
 PERCENT = 75
-BLOCK = 2000
+BLOCK = 500
 
 
 def _multipliers(permutations: int) -> np.ndarray:
@@ -126,12 +128,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     links = links.select(F.col(a).alias("a"), F.col(b).alias("b"))
     both = _scratch.table(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a != b").distinct(), "links")
+    hubs = _skew.heavy(both, "b")
     labels = _scratch.table(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("label")), "labels")
     while True:
-        near = both.join(labels.select(F.col("id").alias("b"), F.col("label").alias("l")), "b").groupBy(F.col("a").alias("id")).agg(F.min("l").alias("l"))
+        near = _skew.join(both, labels.select(F.col("id").alias("b"), F.col("label").alias("l")), "b", hot=hubs).groupBy(F.col("a").alias("id")).agg(F.min("l").alias("l"))
         low = labels.join(near, "id", "left").select("id", F.col("label").alias("old"), F.least("label", "l").alias("label"))
-        up = labels.select(F.col("id").alias("label"), F.col("label").alias("up"))
-        new = _scratch.table(low.join(up, "label", "left").select("id", "old", F.least("label", "up").alias("label")), "labels")
+        up = labels.select(F.col("id").alias("old"), F.col("label").alias("up"))
+        jumped = _skew.join(low, up, "old", "left", hot=_skew.heavy(labels, "label"), by=("id",))
+        new = _scratch.table(jumped.select("id", "old", F.least("label", "up").alias("label")), "labels")
         labels = new.select("id", "label")
         if new.filter("label != old").isEmpty():
             return labels
@@ -139,9 +143,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b), those with 100 * intersection >= percent * union of their full sets."""
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
     size, other = F.size("sa"), F.size("sb")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    left = _skew.join(pairs, sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
+    both = _skew.join(left, sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b", hot=_skew.heavy(pairs, "b"), by=("a",))
     near = both.filter(100 * F.least(size, other) >= percent * F.greatest(size, other))
     shared = near.select("a", "b", (size + other).alias("total"), F.size(F.array_intersect("sa", "sb")).alias("shared"))
     return shared.filter((100 + percent) * F.col("shared") >= percent * F.col("total")).select("a", "b")
@@ -183,37 +187,43 @@ def _shared_docs(own: DataFrame, classes: DataFrame) -> DataFrame:
 def near_links(sketch: DataFrame, docs: DataFrame, n: int = N_WORDS, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(classes, labels): (fp, id) of each distinct set, and (id, label) of those linked with another."""
     own = sketch.filter("fp is not null and doc_id is not null")
-    classes = _scratch.table(own.groupBy("fp").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("runs")), "classes")
-    seats = sketch.select("fp", F.col("doc_id").alias("id"), "keys").join(classes.select("fp", "id"), ["fp", "id"], "left_semi")
-    seats = seats.select("id", F.explode("keys").alias("bucket")).distinct()
-    buckets = seats.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).filter("n > 1")
-    seats = _scratch.table(seats.join(buckets, "bucket"), "seats")
+    classes = own.groupBy("fp").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("runs"), F.first("keys").alias("keys"))
+    classes = _scratch.table(classes, "classes")
+    repeated = not own.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    seats = classes.select(F.struct("id", "runs").alias("own"), F.explode("keys").alias("bucket"))
+    shape = F.sum(F.xxhash64("own.id").cast("decimal(38,0)")).alias("shape")
+    buckets = seats.groupBy("bucket").agg(F.count("*").alias("n"), F.min("own").alias("low"), F.max("own").alias("high"), shape).filter("n > 1")
     # Of the buckets with the same members one is enough.
-    shape = seats.groupBy("bucket", "n", "low", "high").agg(F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("shape"))
-    seats = seats.join(shape.groupBy("n", "low", "high", "shape").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket", "left_semi")
-    seats = _scratch.table(seats, "seats")
-    hubs = F.explode(F.array("low", "high"))
-    pairs = seats.select("id", hubs.alias("hub")).filter("id != hub").select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
-    runs = classes.groupBy("id").agg(F.min("runs").alias("few"), F.max("runs").alias("many"))
-    for side in "ab":
-        pairs = pairs.join(runs.select(F.col("id").alias(side), F.col("few").alias(f"few_{side}"), F.col("many").alias(f"many_{side}")), side)
-    pairs = pairs.filter((100 * F.col("many_a") >= percent * F.col("few_b")) & (100 * F.col("many_b") >= percent * F.col("few_a")))
-    pairs = _scratch.table(pairs.select("a", "b"), "pairs")
+    buckets = _scratch.table(buckets.groupBy("n", "low", "high", "shape").agg(F.min("bucket").alias("bucket")).drop("shape"), "buckets")
+    total = seats.count()
+    hot = [r[0] for r in buckets.filter(F.col("n") * _skew.HOT >= total).select("bucket").limit(_skew.HOT).collect()]
+    seats = _scratch.table(_skew.join(seats, buckets, "bucket", hot=hot).select("own.id", "own.runs", "bucket", "n", "low", "high"), "seats")
+    pairs = seats.select("id", "runs", F.explode(F.array("low", "high")).alias("hub")).filter("id != hub.id")
+    if not repeated:
+        pairs = pairs.filter((100 * F.col("runs") >= percent * F.col("hub.runs")) & (100 * F.col("hub.runs") >= percent * F.col("runs")))
+    pairs = _scratch.table(pairs.select(F.greatest("id", "hub.id").alias("a"), F.least("id", "hub.id").alias("b")).distinct(), "pairs")
     met = seats.filter("n > 3").select("id").union(pairs.select("a")).union(pairs.select("b")).distinct()
-    texts = docs.select("doc_id", "text").join(met.select(F.col("id").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    texts = docs.select("doc_id", "text").join(met.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
     sets = _scratch.table(full_sets(texts, n), "sets")
-    repeated = not own.groupBy("doc_id").count().filter("count > 1").isEmpty()
     sets = sets.dropDuplicates() if repeated else sets
     links = _confirmed(pairs, sets, percent)
     links = _scratch.table(links.unionByName(_shared_docs(own, classes)).distinct() if repeated else links, "confirmed")
     labels = components(links)
 
-    seen = seats.filter("n > 3").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    open_buckets = seen.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("two"), F.count("*").alias("m")).filter("one != two")
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    seen = seen.join(open_buckets.select("bucket", "m"), "bucket").withColumn("k", blocks).withColumn("i", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
-    seen = seen.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("bucket", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "id", "label")
-    seen = seen.join(sets, "id")
+    seen = seats.filter("n > 3").select("id", "bucket").distinct().join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    seen = _scratch.table(seen, "seen")
+    sizes = seen.groupBy("bucket", "label").agg(F.count("*").alias("size")).groupBy("bucket")
+    sizes = sizes.agg(F.max(F.struct("size", "label")).alias("top"), F.sum("size").alias("m"), F.count("*").alias("different")).filter("different > 1")
+    many = [F.ceil(c / block).cast("int").alias(name) for c, name in ((F.col("m") - F.col("top.size"), "outer"), (F.col("top.size"), "inner"))]
+    seen = _skew.join(seen, sizes.select("bucket", "top.label", *many).withColumnRenamed("label", "top"), "bucket", by=("id",))
+    inside = F.col("label") == F.col("top")
+    seen = seen.withColumn("own", F.pmod(F.xxhash64("id"), F.when(inside, F.col("inner")).otherwise(F.col("outer"))).cast("int"))
+    # Pairs of blocks: of two outside the largest component (i <= j), and of one outside with one inside (j counts on).
+    with_inside = F.transform(F.sequence(F.lit(0), F.col("inner") - 1), lambda k: F.struct(F.col("own").alias("i"), (F.col("outer") + k).alias("j")))
+    with_outside = F.transform(F.sequence(F.lit(0), F.col("outer") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j")))
+    against = F.transform(F.sequence(F.lit(0), F.col("outer") - 1), lambda k: F.struct(k.alias("i"), (F.col("outer") + F.col("own")).alias("j")))
+    seen = seen.withColumn("at", F.explode(F.when(inside, against).otherwise(F.concat(with_outside, with_inside))))
+    seen = seen.select("bucket", "at.i", "at.j", "id", "label").join(sets, "id")
 
     def settle(group: pd.DataFrame) -> pd.DataFrame:
         found = block_links(group["id"].to_numpy(), group["label"].to_numpy(), [np.asarray(s) for s in group["s"]], percent)
@@ -231,7 +241,7 @@ def near_duplicates(docs: DataFrame, n: int = N_WORDS, permutations: int = PERMU
     sketch = _scratch.table(sketches(docs, n, permutations, rows), "sketch")
     classes, labels = near_links(sketch, docs, n, percent)
     named = classes.join(labels, "id", "left").select("fp", F.coalesce("label", "id").alias("label"))
-    out = sketch.select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
+    out = _skew.join(sketch.select("doc_id", "n_shingles", "fp"), named, "fp", "left")
     mixed = sketch.groupBy("doc_id").agg(F.count("fp").alias("full"), F.count("*").alias("n")).filter("doc_id is not null and full > 0 and full < n").select("doc_id")
     if not mixed.isEmpty():
         node = out.join(mixed, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("label").alias("node"))
@@ -248,7 +258,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     named = docs.filter("doc_id is not null")
     if named.groupBy("doc_id").count().filter("count > 1").isEmpty():
         judged = _scratch.table(near_duplicates(named.select("doc_id", "text"), **options), "judged")
-        kept = named.join(judged.filter("kept").select("doc_id"), "doc_id", "left_semi")
+        kept = named.join(judged.filter("kept").select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
         return kept.unionByName(docs.filter("doc_id is null"))
     digest = F.coalesce(F.sha2(F.col("text").cast("string").cast("binary"), 256), F.lit(""))
     texts = named.select("doc_id", digest.alias("__digest")).groupBy("doc_id", "__digest").agg(F.count("*").alias("__copies"))
