@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from lodestrata.functions import numbers
 
 GROUP = r"\[(\d[\d,\s–—-]*)\]"
+#: A number or a range between commas; numbers of ten digits and more are none.
+PART = r",\s*(\d{1,9})(?:\s*-\s*(\d{1,9}))?\s*(?=,)"
 
 
 def groups(c: Column) -> Column:
@@ -20,17 +22,16 @@ def groups(c: Column) -> Column:
 
 def expand(c: Column) -> Column:
     """Numbers of ``1,26-28`` in order, repeats kept; a falling range is empty; other parts are dropped."""
+    listed = F.concat(F.lit(","), numbers.plain_minus(F.coalesce(c, F.lit(""))), F.lit(","))
+    low, high = (F.regexp_extract_all(listed, F.lit(PART), F.lit(i)) for i in (1, 2))
     none = F.array().cast("array<int>")
-    parts = F.transform(F.split(numbers.plain_minus(F.coalesce(c, F.lit(""))), ","), lambda p: F.trim(p))
-    good = F.filter(parts, lambda p: p.rlike(r"^\d+(\s*-\s*\d+)?$"))
-    # A part's ends are one number or two: read once, then used.
-    ends = F.transform(good, lambda p: F.transform(F.split(p, "-"), lambda n: F.trim(n).try_cast("int")))
-    return F.flatten(F.transform(ends, lambda e: F.when(F.get(e, F.lit(0)) <= F.element_at(e, -1), F.sequence(F.get(e, F.lit(0)), F.element_at(e, -1))).otherwise(none)))
+    # Digits are few enough for any int; without a second end the first stands alone.
+    return F.flatten(F.zip_with(low.cast("array<int>"), high, lambda a, b: F.when(b == "", F.array(a)).when(a <= b.cast("int"), F.sequence(a, b.cast("int"))).otherwise(none)))
 
 
 def cited(c: Column) -> Column:
     """All numbers that a text cites, sorted, each once."""
-    return F.array_sort(F.array_distinct(F.flatten(F.transform(groups(c), expand))))
+    return F.array_sort(F.array_distinct(expand(F.array_join(groups(c), ","))))
 
 
 def near(value: Column, text: Column, window: int = 160) -> Column:

@@ -106,9 +106,10 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, 4::INT AS n_refs, (4 * l_
 """)
 def q05_expand_ref_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("l_linenumber")
-    refs = citations.expand(_text(n, ",", n + 2, "-", n + 4, ",9-3,x"))
-    total = F.aggregate(refs, F.lit(0).cast("long"), lambda a, x: a + x)
-    return _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.size(refs).alias("n_refs"), total.alias("sum_refs"))
+    key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    lines = _read(spark, sf_dir, "lineitem").select(*key, citations.expand(_text(n, ",", n + 2, "-", n + 4, ",9-3,x")).alias("refs"))
+    total = F.aggregate("refs", F.lit(0).cast("long"), lambda a, x: a + x)
+    return lines.select(*key, F.size("refs").alias("n_refs"), total.alias("sum_refs"))
 
 
 @_query("""
