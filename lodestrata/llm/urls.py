@@ -13,13 +13,16 @@ beyond), and reaches executors as a job file. Urls are judged where they lie: no
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased. Path: from there up to ``?``,
 ``#`` or the end. Defined results: a null url, or one without ``://``, has an empty host and path; no rule fits
 an empty host, and its verdict is allow. Repeated rows are judged each; a rule listed twice counts once, with its
-first verdict. Extra columns are left out of the result.
+first verdict. Urls of any length are judged whole, by at most as many candidates as the index has path lengths and
+host depths. Extra columns are left out of the result. An empty table gives an empty result; an empty list fits nothing.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -37,7 +40,7 @@ MAX_RULES = 50_000_000
 #: (verdict, rule): the rules that decide before the block list.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 
-#: Hosts that the method blocks, with their subdomains, where no rule fits.
+#: Hosts that the registered query blocks, with their subdomains, where no rule fits: a short stand-in for a production list.
 BLOCKED_HOSTS = ("ads-track.example.org", "casino-win.example.org", "cheap-pills.example.com", "free-bets.example.com", "spam-farm.example.org")
 
 _URL = re.compile(r"://([^/?#]*)([^?#]*)", re.S)
@@ -67,13 +70,15 @@ class DigestArray:
     def build(rules: Iterable[tuple[str, str]], path: str) -> list[str]:
         """Writes the files of an index over (verdict, host + path prefix); their names."""
         kept: dict[bytes, bool] = {}
+        paths = set()
         for verdict, rule in rules:
             host, slash, rest = rule.partition("/")
             kept.setdefault(f"{host.translate(_FOLD)}{slash}{rest}".encode(), verdict == "block")
-        if len(kept) > MAX_RULES:
-            raise ValueError(f"{len(kept)} rules; the driver indexes {MAX_RULES} at most")
+            paths.add(len(slash) + len(rest))
+            if len(kept) > MAX_RULES:
+                raise ValueError(f"more than {MAX_RULES} rules")
         texts = sorted(kept, key=lambda t: (xxhash.xxh64_intdigest(t), t))
-        lengths = sorted({len(t.decode()) - len(t.decode().partition("/")[0]) for t in texts}, reverse=True)
+        lengths = sorted(paths, reverse=True)
         columns = {
             "keys": np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64),
             "ends": np.cumsum([len(t) for t in texts], dtype=np.int64),
@@ -133,25 +138,42 @@ def _index(name: str) -> DigestArray:
 
 def _ship(spark: SparkSession, rules: Iterable[tuple[str, str]]) -> str:
     """Builds an index and adds its files to the job; the name under which executors map it."""
-    name = f"urls-{uuid.uuid4().hex}"
-    for path in DigestArray.build(rules, os.path.join(tempfile.mkdtemp(), name)):
+    name, folder = f"urls-{uuid.uuid4().hex}", tempfile.mkdtemp()
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    for path in DigestArray.build(rules, os.path.join(folder, name)):
         spark.sparkContext.addFile(path)
     return name
 
 
+def listed(table: DataFrame, column: str = "rule") -> Iterator[str]:
+    """The entries of a block list kept as a table, partition by partition; null and empty ones are left out.
+
+    At most ``MAX_RULES`` are read: a longer list is an error.
+    """
+    entries = table.select(F.trim(F.col(column).cast("string")).alias("rule")).filter("rule <> ''")
+    if entries.limit(MAX_RULES + 1).count() > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
+    for row in entries.toLocalIterator(prefetchPartitions=True):
+        yield row["rule"]
+
+
 def judge(
-    pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, blocked: Iterable[str] = BLOCKED_HOSTS, key: str = "page_id", url: str = "url"
+    pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, blocked: Iterable[str] | DataFrame = BLOCKED_HOSTS, key: str = "page_id", url: str = "url"
 ) -> DataFrame:
-    """key, host, path, rule and verdict of every row: the longest rule's, else block if the block list fits, else allow."""
+    """key, host, path, rule and verdict of every row: the longest rule's, else block if the block list fits, else allow.
+
+    blocked: hosts, or hosts with the path that urls must start with; any iterable, or a table with a column rule (see listed).
+    """
     spark = pages.sparkSession
+    blocked = listed(blocked) if isinstance(blocked, DataFrame) else blocked
     first, second = _ship(spark, rules), _ship(spark, (("block", host) for host in blocked))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             split = [parts(u) for u in batch.column(1).to_pylist()]
             rule, blocks = _index(first).longest(split)
-            listed = _index(second).longest(split)[1]
-            verdict = ["block" if (b if r is not None else x) else "allow" for r, b, x in zip(rule, blocks, listed)]
+            bad = _index(second).longest(split)[1]
+            verdict = ["block" if (b if r is not None else x) else "allow" for r, b, x in zip(rule, blocks, bad)]
             columns = [batch.column(0), pa.array([h for h, _ in split], pa.string()), pa.array([p for _, p in split], pa.string()), pa.array(rule, pa.string()), pa.array(verdict)]
             yield pa.RecordBatch.from_arrays(columns, [key, "host", "path", "rule", "verdict"])
 

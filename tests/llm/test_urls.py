@@ -51,3 +51,16 @@ def test_empty_index_and_table(spark):
     pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     assert urls.judge(pages, (), ()).first()["verdict"] == "allow"
     assert urls.judge(pages.limit(0)).count() == 0
+
+
+def test_a_million_rules(spark):
+    """A block list from a table: hosts and host paths, each found, nothing else."""
+    n = 1_000_000
+    table = spark.range(n).selectExpr("if(id % 3 = 0, concat('h', id, '.example.net/p', id % 7, '/'), concat('H', id, '.example.net')) AS rule").union(spark.createDataFrame([(None,), ("  ",)], "rule string"))
+    rng = random.Random(8)
+    picked = [rng.randrange(n + 1000) for _ in range(600)]
+    made = [f"http://{'sub.' if i % 2 else ''}h{i}.example.net/p{i % 7 if i % 5 else 9}/x" for i in picked] + ["http://example.net/", "http://xh3.example.net/p3/"]
+    pages = spark.createDataFrame(list(enumerate(made)), "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(pages, (), table).collect()}
+    want = ["block" if i < n and (i % 3 or i % 5) else "allow" for i in picked] + ["allow", "allow"]
+    assert [got[i] for i in range(len(made))] == want and want.count("block") > 300
