@@ -53,7 +53,7 @@ WITH texts AS (
     length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
     length(regexp_replace(t, '[^A-Z]', '', 'g'))::BIGINT AS n_upper,
-    len(list_filter(w, lambda x: x IN ({_texts(rules.STOP_WORDS)})))::BIGINT AS n_stop_words,
+    len(list_filter(w, lambda x: x IN ({_texts(rules.STOP_FORMS)})))::BIGINT AS n_stop_words,
     len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
     coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM texts t LEFT JOIN covered USING (doc_id)

@@ -1,13 +1,14 @@
 """Quality rules: a table of thresholds compiled into column expressions, evaluated without user functions.
 
-Words are the runs of characters other than space and 9 to 13. Counts are exact on whole texts:
+Words are the runs of characters other than space and 9 to 13. Counts are of whole texts, exact but for hashes of
+64 bits that stand for the windows (two different windows of a text collide with a chance of n**2 / 2**65):
 
 - word_chars: code points in words; n_symbols: characters of ``#*$%&|<>``;
 - n_dup_lines: lines with a word that equal an earlier one;
 - n_repeat_words: words covered by 3-word windows that occur at least twice in the text, the first included.
 
 A text fails the base rules with fewer than 50 words or if over half of its words repeat. Otherwise the threshold
-table judges ratios of these counts, stop words, upper-case letters and lines. A text is kept if every ratio lies
+table judges ratios of these counts, stop words (in lower case or with a capital), upper-case letters and lines. A text is kept if every ratio lies
 within its row's bounds.
 
 Windows are compared by the 64-bit hashes of their three words, sorted with their places: n log n in the length of
@@ -37,6 +38,8 @@ der die das und ist nicht ein eine mit von zu den im für auf dem des sich als a
 le la les de des et un une est que qui dans pour par sur au pas ne du en avec il
 el los las del y que en un una es por con para se no su al lo como más
 """.split()
+#: As they are, and as sentences begin.
+STOP_FORMS = sorted({form for w in STOP_WORDS for form in (w, w.capitalize())})
 
 
 @dataclass(frozen=True)
@@ -79,7 +82,7 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
         _without(F.col("t"), SPACE).cast("long").alias("word_chars"),
         (F.length("t") - _without(F.col("t"), SYMBOLS)).cast("long").alias("n_symbols"),
         (F.length("t") - _without(F.col("t"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ")).cast("long").alias("n_upper"),
-        _size(F.filter("w", lambda x: x.isin(STOP_WORDS))).alias("n_stop_words"),
+        _size(F.filter("w", lambda x: x.isin(STOP_FORMS))).alias("n_stop_words"),
         _size(F.col("lines")).alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.transform("w", lambda x: F.xxhash64(x)).alias("h"),
