@@ -16,12 +16,14 @@ the windows over a source run over its distinct sizes, not its rows.
 Targets: sources by code point, null last, weigh 3, 1, 2, repeating, and share 150 % of all words; a target stops
 at twice its source's words, and the excess is reshared by weight. Defined results: a null text has no words; a
 source without words has target 0. A null source is one source. Rows that repeat a doc_id are documents of their
-own. A null doc_id is a document like any other. Extra columns are left alone. An empty table gives an empty result.
+own. A null doc_id is a document like any other. Extra columns are left alone. An empty table gives an empty result. Texts of
+any length are counted whole. A source that hasn't met its target after ``ROUNDS`` iterations keeps its last multiplier, with a warning.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +38,8 @@ SALTS = 4096
 WORD = r"[^\x20\x09-\x0D]+"
 ROUNDS = 60
 TOLERANCE = 1e-7
+#: Words that sums of decimals can't tell apart.
+QUANTUM = 2e-6
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -89,11 +93,13 @@ def multipliers(cells: DataFrame) -> DataFrame:
         good = (F.col("slope") > 0) & (newton > F.col("lo")) & (newton < F.col("hi")) & (F.abs(newton - F.col("l")) < 8)
         far = F.greatest(F.lit(1.0), F.abs("l"))
         half = F.when((F.col("lo") > -infinite) & (F.col("hi") < infinite), (F.col("lo") + F.col("hi")) / 2).otherwise(F.col("l") - F.signum("gap") * far)
-        met = F.col("done") | (F.abs("gap") <= TOLERANCE * F.greatest(F.col("target"), F.lit(1.0)))
+        met = F.col("done") | (F.abs("gap") <= F.greatest(TOLERANCE * F.col("target"), F.lit(QUANTUM)))
         new = F.when(met, F.col("l")).when(good, newton).otherwise(half)
         state = _scratch.table(stepped.select("sid", "target", new.alias("l"), "lo", "hi", met.alias("done")), "dual")
         if state.filter("not done").isEmpty():
             break
+    else:
+        warnings.warn(f"{state.filter('not done').count()} sources haven't met their target after {ROUNDS} iterations; their last multipliers count", stacklevel=2)
     return state.select("sid", "l")
 
 

@@ -1,6 +1,7 @@
 """Mixing: targets by the water level, totals near targets, copies at most 2, reruns."""
 
 import collections
+import math
 
 import pytest
 
@@ -59,3 +60,52 @@ def test_one_size_in_one_source(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", "'a b c d' AS text", "if(id < 2000, 'hot', 'z') AS source")
     _, taken, targets, _ = check(docs)
     assert all(abs(taken[s] - targets[s]) <= 4 for s in targets)
+
+
+def solved(cells, target):
+    """l with sum n * size * min(2, exp(l * x)) = target, by bisection: what the dual's optimum must be."""
+    mean = sum(n * z for z, n in cells.items()) / sum(cells.values())
+
+    def words(l):
+        return sum(n * z * min(2.0, math.exp(min(l * z / mean, 50))) for z, n in cells.items())
+
+    lo, hi = -200.0, 200.0
+    for _ in range(300):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if words(mid) < target else (lo, mid)
+    return lo, mean
+
+
+@pytest.mark.parametrize("weights", [(3, 1, 2), (1, 5, 1)])
+def test_rates_solve_the_dual(spark, monkeypatch, weights):
+    """The multipliers are those of a plain solver, and copies follow the running sum of their rates."""
+    monkeypatch.setattr(mixing.targets, "__defaults__", (weights, mixing.SHARE))
+    rows = [(i, " ".join(["w"] * (1 + (i * i) % 37)), "abcd"[i % 4] if i % 9 else None) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    seen = []
+    original = mixing.multipliers
+    monkeypatch.setattr(mixing, "multipliers", lambda cells: seen.append((cells.collect(), out := original(cells), out.collect())) or out)
+    got = mixing.mix(df).collect()
+    (cells, _, found), = seen
+    lagrange = {r["sid"]: r["l"] for r in found}
+    by: dict = collections.defaultdict(dict)
+    goals = {}
+    for r in cells:
+        by[r["sid"]][r["size"]] = r["n"]
+        goals[r["sid"]] = (r["target"], r["full"], r["source"])
+    taken: dict = collections.Counter()
+    for r in got:
+        taken[r["source"], r["size"]] += r["copies"]
+    assert any(not full for _, full, _ in goals.values())
+    for sid, (target, full, source) in goals.items():
+        if full:
+            assert all(taken[source, z] == 2 * n for z, n in by[sid].items())
+            continue
+        want, mean = solved(by[sid], target)
+        assert lagrange[sid] == pytest.approx(want, abs=1e-5)
+        # Along the sizes, longest first, copies keep within one of the sum of rates (one cell may be mended by one).
+        upto = copies = 0.0
+        for z in sorted(by[sid], reverse=True):
+            upto += by[sid][z] * min(2.0, math.exp(want * z / mean))
+            copies += taken[source, z]
+            assert abs(copies - upto) <= 1.5 + 1e-3
