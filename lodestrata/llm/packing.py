@@ -222,8 +222,8 @@ def runs(packed: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, np.ndar
 
 
 def ranked(rows: DataFrame, salts: int = SALTS) -> DataFrame:
-    """rows with rank (from 0) among those of one length."""
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
+    """rows (a written table) with rank (from 0) among those of one length. Equal rows are dealt by where they lie."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.spark_partition_id()), F.lit(salts)).cast("int"))
     parts = salted.groupBy("length", "salt").agg(F.count("*").alias("m"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(F.col("length").alias("l"), F.col("salt").alias("s"), F.coalesce(F.sum("m").over(before), F.lit(0)).alias("before"))
