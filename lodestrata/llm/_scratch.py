@@ -9,6 +9,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 BATCH_BYTES = 4 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _OWN: dict[str, str] = {}
-_MADE: list[str] = []
+#: Each thread lists the tables that it made: runs in other threads keep theirs.
+_LOCAL = threading.local()
+
+
+def _made() -> list[str]:
+    if not hasattr(_LOCAL, "made"):
+        _LOCAL.made = []
+    return _LOCAL.made
 
 
 def folder(spark: SparkSession) -> str:
@@ -46,7 +54,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def lean(df: DataFrame) -> DataFrame:
-    """df, in a session whose batches for Python hold about ``BATCH_BYTES`` unless it has a bound: rows may be long texts."""
+    """df, in a session whose batches for Python hold about ``BATCH_BYTES`` unless it has a bound: rows may be long texts.
+
+    The setting stays, as it is read when df's plan is made, which may be later.
+    """
     if df.sparkSession.conf.get(_BATCH, None) is None:
         df.sparkSession.conf.set(_BATCH, str(BATCH_BYTES))
     return df
@@ -58,23 +69,29 @@ def table(df: DataFrame, name: str, codec: str = "zstd", row_group: int | None =
     path = fresh(spark, name)
     writer = df.write.option("compression", codec)
     (writer.option("parquet.block.size", row_group) if row_group else writer).parquet(path)
-    _MADE.append(path)
+    _made().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def settled(df: DataFrame, name: str, since: int) -> DataFrame:
     """As table; then drops the tables made after ``since`` (see made), which only df's lineage used."""
-    out = table(df, name)
-    own = _MADE.pop()
-    drop(df.sparkSession, *_MADE[since:])
-    del _MADE[since:]
-    _MADE.append(own)
+    out, listed = table(df, name), _made()
+    own = listed.pop()
+    drop(df.sparkSession, *listed[since:])
+    del listed[since:]
+    listed.append(own)
     return out
 
 
 def made() -> int:
-    """How many tables there are."""
-    return len(_MADE)
+    """How many tables this thread has made and not dropped."""
+    return len(_made())
+
+
+def clean(spark: SparkSession, since: int = 0) -> None:
+    """Drops the tables that this thread made after ``since``: for callers that have read a query's result."""
+    drop(spark, *_made()[since:])
+    del _made()[since:]
 
 
 def drop(spark: SparkSession, *paths: str) -> None:
