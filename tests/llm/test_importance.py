@@ -1,11 +1,15 @@
 """Importance resampling: held-out accuracy, exact top-k, ties."""
 
+import math
 import random
+import re
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestrata.llm import importance
+from lodestrata.llm import _bytes, importance
 
 
 def test_held_out_accuracy(spark):
@@ -45,3 +49,63 @@ def test_odd_rows(spark, odd):
     assert taken.columns == odd.columns and taken.count() == sum(r["kept"] for r in rows)
     assert importance.resample(odd, labels.limit(0)).filter("kept").count() == 8
     assert importance.resample(odd.limit(0), labels).count() == 0
+
+
+MASK = (1 << 64) - 1
+
+
+def one_hash(token):
+    """The hash of a token alone: what the vectorised code must give it in any text."""
+    data = np.frombuffer(token, np.uint8)
+    return int(_bytes.pieces(data, np.array([0, len(data)]), _bytes.TOKENS)[0][0])
+
+
+def mixed(x):
+    return int(_bytes.mix(np.array([x & MASK], np.uint64))[0])
+
+
+def slow_grams(text):
+    """The buckets of a text's grams, token by token."""
+    tokens = re.findall(rb"[0-9A-Za-z_\x80-\xff]+|[^0-9A-Za-z_\x80-\xff \t\n\x0b\x0c\r]+", (text or "").encode())
+    hashes = [one_hash(t) for t in tokens]
+    words = [1 if len(t) > 1 and t == t.upper() and t != t.lower() else h for t, h in zip(tokens, hashes)]
+    pairs = [2 if hashes[i] == hashes[i + 1] else (words[i] * 0xD6E8FEB86659FD93 + words[i + 1]) & MASK for i in range(len(words) - 1)]
+    return [(mixed(x) >> 48) % importance.BUCKETS for x in words] + [(mixed(x + 7) >> 48) % importance.BUCKETS for x in pairs]
+
+
+TEXTS = ["The cat, the CAT sat.", "a a a B B", "é É x_y 9 --- !!! NATO Nato", "THE END OF IT", "", None, "one", "good words here and there, good words", "spam SPAM spam $$$ $$$", "x\x0by\x0cz"]
+
+
+def test_grams_equal_a_loop():
+    column = __import__("pyarrow").array(TEXTS)
+    for first, data, offsets in _bytes.slices(column):
+        buckets, text = importance.grams(data, offsets)
+        for i in range(len(offsets) - 1):
+            assert Counter(buckets[text == i].tolist()) == Counter(slow_grams(TEXTS[first + i]))
+
+
+def test_weights_equal_a_loop(spark):
+    """Models, ratio and log weight by counting, and the cut and sample that follow from them."""
+    rng = random.Random(1)
+    words = "the cat sat on a mat and NATO met Spam spam $$$ !!! é x_1 of it".split()
+    texts = [" ".join(rng.choice(words[: 10 if i % 2 else 16]) for _ in range(rng.randint(0, 30))) for i in range(120)] + [None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)] + [(1, 1, 1)], "doc_id long, quality int, toxic int")
+    raw, target = Counter(), Counter()
+    for i, t in enumerate(texts):
+        raw.update(slow_grams(t))
+        if i < 60 and i % 2 and i != 1:
+            target.update(slow_grams(t))
+    n, m, size = sum(raw.values()), sum(target.values()), importance.BUCKETS
+
+    def weight(t):
+        own = slow_grams(t)
+        each = [math.log((target[g] + 1) / (m + size)) - math.log((raw[g] + 1) / (n + size)) for g in own]
+        return importance.GRAMS * sum(each) / len(each) if own else None
+
+    rows = {r["doc_id"]: r for r in importance.resample(df, labels, 40).collect()}
+    for i, t in enumerate(texts):
+        want = weight(t)
+        assert (rows[i]["log_weight"] is None) == (want is None) and (want is None or rows[i]["log_weight"] == pytest.approx(want, abs=1e-9))
+    keys = sorted((r["key"] for r in rows.values() if r["key"] is not None), reverse=True)
+    assert {i for i, r in rows.items() if r["kept"]} == {i for i, r in rows.items() if r["key"] is not None and r["key"] >= keys[39]}

@@ -25,6 +25,12 @@ def test_stages_on_odd_rows(spark, odd, sf):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() >= 0
 
 
+def test_stages_on_an_empty_table(spark, odd, sf):
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd.limit(0), sf)
+        assert out.count() == 0 and (name == corpus_pipeline.STAGES[-1][0] or out.columns == odd.columns)
+
+
 def test_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
     assert set(queries.oracle_sql()) <= set(queries.queries())
