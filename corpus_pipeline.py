@@ -1,7 +1,13 @@
 """The corpus pipeline: stages over documents, each written as Parquet before the next.
 
 Each stage takes (spark, docs, sf_dir), works on all rows it gets, and its decisions take effect on the rows it
-returns. All but the last return the columns of documents.
+returns. All but the last return the columns of documents, whatever others stand beside them and however they are named.
+
+Nulls, empty texts and repeats: the quality stage drops texts without words or signs, null ones included, and takes equal
+rows together; near-dedup keeps rows without doc_id and one of equal rows, and each different text of a repeated doc_id by
+itself; secrets and mixing treat a null text as empty and a null doc_id or source as any other, and a text without words is
+taken once, or twice where its whole source is; packing gives each row that is left at least one piece. Texts of any length are taken whole. Of an empty
+table every stage returns no rows.
 """
 
 from __future__ import annotations
