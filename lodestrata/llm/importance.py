@@ -36,6 +36,8 @@ LABELLED = 50_000
 GRAMS = 100
 SMOOTHING = 1.0
 SEED = 7
+#: Bytes that a writer of whole rows holds before it writes them.
+ROW_GROUP = 16 << 20
 _SHOUT, _SAME, _PAIR = np.uint64(1), np.uint64(2), np.uint64(7)
 
 
@@ -188,8 +190,7 @@ def threshold(scored: DataFrame, model: Model, k: int | None = None) -> float:
 def sample(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
     """The rows of docs that the sample takes, all columns unchanged."""
     model = fit(docs, labels)
-    narrow = docs.select("doc_id", "text")
-    scored = _scratch.table(keyed(narrow, model).select("log_weight", "key"), "scored")
-    least = threshold(scored, model, k)
+    # Rows are written with their keys: to read them again costs less than to weigh them again.
     weighed = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    return keyed(weighed, model).filter(F.col("key") >= least).select("row.*")
+    scored = _scratch.table(keyed(weighed, model).select("row", "log_weight", "key"), "scored", "zstd", ROW_GROUP)
+    return scored.filter(F.col("key") >= threshold(scored, model, k)).select("row.*")
