@@ -27,6 +27,8 @@ SHORT = 16
 #: Pieces looked up at once.
 STEP = 1 << 16
 LONG = 256
+#: Bytes of a long text that are cut at once.
+PART = 1 << 19
 #: Letters whose lower case depends on their place, or isn't one letter.
 _ODD = frozenset("İΣ")
 #: How the vocabulary writes bytes: printable ones of Latin-1 as they are, the others from 256 on.
@@ -93,6 +95,19 @@ def _distinct(*keys: np.ndarray) -> np.ndarray:
     return order[first]
 
 
+def _part_ends(data: np.ndarray) -> list[int]:
+    """Where parts of about ``PART`` bytes end: behind white space, or at the end."""
+    ends = [0]
+    while ends[-1] < len(data):
+        at = ends[-1] + PART
+        space = np.flatnonzero(_KINDS[data[at : at + PART]] == 0)
+        while not len(space) and at < len(data):
+            at += PART
+            space = np.flatnonzero(_KINDS[data[at : at + PART]] == 0)
+        ends.append(at + int(space[0]) + 1 if len(space) else len(data))
+    return ends[1:]
+
+
 class PieceIds:
     """Ids of pieces without ASCII white space."""
 
@@ -227,7 +242,14 @@ class PieceIds:
         return np.split(ids, bounds[1:-1]) if texts else []
 
     def flat_texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, bounds by text) of the texts."""
+        """(ids, bounds by text) of the texts. One long text is taken in parts that end at white space."""
+        if len(offsets) == 2 and len(data) > 2 * PART:
+            ends = _part_ends(data)
+            ids = np.concatenate([self._texts(data[a:b], np.array([0, b - a]))[0] for a, b in zip([0, *ends[:-1]], ends)])
+            return ids, np.array([0, len(ids)])
+        return self._texts(data, offsets)
+
+    def _texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         cut = Cut(data, offsets)
         whole = cut.data.tobytes()
         written = _CHARACTERS[cut.data].tobytes().decode("utf-16-le")

@@ -29,3 +29,14 @@ def test_ids(most):
 def test_cut():
     text, number, start, end = _tokens.cut(np.array([0, 5, 6, 12]), 3)
     assert list(zip(text, number, start, end)) == [(0, 0, 0, 3), (0, 1, 3, 5), (1, 0, 5, 6), (2, 0, 6, 9), (2, 1, 9, 12)]
+
+
+def test_long_texts_in_parts(monkeypatch):
+    monkeypatch.setattr(_tokens, "PART", 40)
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(["Word", "é", " ", " ", "\n", "don't ", "<|endoftext|>", "x" * 130, "1,2 "]) for _ in range(rng.randint(0, 80))) for _ in range(60)]
+    cache = _tokens.PieceIds(_tokens.default_path())
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        ids, bounds = cache.flat_texts(data, np.array([0, len(data)]))
+        assert ids.tolist() == cache.tokenizer.encode(t, add_special_tokens=False).ids and bounds.tolist() == [0, len(ids)]
