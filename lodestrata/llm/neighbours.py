@@ -26,6 +26,7 @@ Extra columns are left alone. An empty table, or no queries, gives an empty resu
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,6 +50,8 @@ BLOCK = 16
 CHUNK = 2048
 #: The share of the probes in the first round.
 FIRST = 8
+#: Distances from centroids that are held at once.
+CELLS = 1 << 22
 SHARD = 20_000
 PART = 2_000
 SEED = 11
@@ -71,8 +74,14 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
+def _blocks(x: np.ndarray, centroids: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of x in blocks whose distances from all centroids are ``CELLS`` at most."""
+    step = max(1, CELLS // len(centroids))
+    return (x[i : i + step] for i in range(0, len(x), step))
+
+
 def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    return np.concatenate([_distances(x[i : i + 4096], centroids).argmin(1) for i in range(0, len(x), 4096)])
+    return np.concatenate([_distances(b, centroids).argmin(1) for b in _blocks(x, centroids)])
 
 
 @dataclass(frozen=True)
@@ -95,9 +104,13 @@ class Index:
 
     def lists(self, q: np.ndarray, n: int) -> np.ndarray:
         """For each query its n nearest lists, nearest first."""
-        d = _distances(self.flat(q), self.centroids)
-        near = np.argpartition(d, n - 1, 1)[:, :n] if n < d.shape[1] else np.broadcast_to(np.arange(d.shape[1]), d.shape)
-        return np.take_along_axis(near, np.take_along_axis(d, near, 1).argsort(1, kind="stable"), 1)
+
+        def nearest(block: np.ndarray) -> np.ndarray:
+            d = _distances(block, self.centroids)
+            near = np.argpartition(d, n - 1, 1)[:, :n] if n < d.shape[1] else np.broadcast_to(np.arange(d.shape[1]), d.shape)
+            return np.take_along_axis(near, np.take_along_axis(d, near, 1).argsort(1, kind="stable"), 1)
+
+        return np.concatenate([nearest(b) for b in _blocks(self.flat(q), self.centroids)])
 
 
 def fit(rows: DataFrame, n: int, k: int = K) -> Index:
