@@ -31,6 +31,15 @@ def edges(df: DataFrame, src: Column, dst: Column, kind: str | Column, *props: C
 SCALARS = ("molecular_weight", "tpsa", "xlogp", "complexity", "melting_point_c", "boiling_point_c", "density_g_cm3")
 
 
+#: What is known of a paper, and the type of what isn't text.
+PAPER = {"doi": "string", "title": "string", "authors": "string", "journal": "string", "volume": "string", "issue": "string", "pages": "string", "year": "string", "ref_number": "int", "match_score": "double", "title_agreement": "double"}
+
+
+def _fields(df: DataFrame) -> list[Column]:
+    """The fields of papers that df has, blank ones null."""
+    return [(F.nullif(F.col(c), F.lit("")) if t == "string" else F.col(c)).cast(t).alias(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in PAPER.items()]
+
+
 def mixture_rows(mixtures: DataFrame, claims: DataFrame | None = None) -> DataFrame:
     """Mixtures of tables and (of accepted claims) of prose in one shape: mixture, origin, seq (tables first), row_id, ratio_raw, components, ratio, paper_key, ref_numbers, source_keys."""
     fields = ["mixture", "row_id", "ratio_raw", "components", "ratio", "ratio_flag", "component_flag", "paper_key"]
@@ -88,17 +97,16 @@ def nodes(
     said = F.struct("row_id", "ratio_raw", "ratio_flag", "component_flag", F.size("components").alias("n_components"), "origin")
     mixture = mixed.groupBy(F.col("mixture").alias("key")).agg(F.max_by(said, table_last).alias("t"), F.min_by(said, "seq").alias("p")).select("key", F.coalesce("t", "p").alias("s")).select("key", "s.*")
     component = merge(_parts(mixed).withColumn("key", F.col("name")), ["key"], ["seq", "pos"], first=["origin"]).join(components.withColumnRenamed("name", "key"), "key", "left")
-    listed = references.withColumn("role", F.lit("primary")).select("key", "doi", "title", "role", F.lit(0).alias("rank"), F.col("ref_number").cast("int").alias("ref_number"), "paper_key")
+    listed = references.select("key", *_fields(references), F.lit("primary").alias("role"), F.lit(0).alias("rank"), F.col("ref_number").cast("int").alias("pos"), "paper_key")
     cited = told.select(F.explode("source_keys").alias("key")).union(mixed.select(F.explode("source_keys").alias("key"))).distinct()
-    bare = cited.select("key", F.lit(None).cast("string").alias("doi"), F.lit(None).cast("string").alias("title"), F.lit("cited").alias("role"), F.lit(-1).alias("rank"), F.lit(None).cast("int").alias("ref_number"), F.lit("").alias("paper_key"))
-    every = listed.unionByName(bare)
+    every = listed.unionByName(cited.select("key", F.lit("cited").alias("role"), F.lit(-1).alias("rank"), F.lit("").alias("paper_key")), allowMissingColumns=True)
     if papers is not None:
-        own = papers.select(F.col("paper_key").alias("key"), F.col("paper_doi").alias("doi"), "title", F.lit("review").alias("role"), F.lit(1).alias("rank"), F.lit(None).cast("int").alias("ref_number"), "paper_key")
-        every = every.unionByName(own)
+        own = papers.withColumn("key", F.col("paper_key")).withColumn("doi", F.col("paper_doi"))
+        every = every.unionByName(own.select("key", *_fields(own), F.lit("review").alias("role"), F.lit(1).alias("rank"), "paper_key"), allowMissingColumns=True)
     out = {
         "Component": component,
         "Mixture": mixture,
-        "Paper": merge(every, ["key"], ["rank", "paper_key", "ref_number"], last=["role"], filled=["doi", "title"]),
+        "Paper": merge(every, ["key"], ["rank", "paper_key", "pos"], last=["role"], filled=list(PAPER)),
         "Measurement": merge(told.withColumn("label", F.col("property")), ["key"], ["origin", "paper_key", "mixture"], last=["label", "value", "unit", "temperature_c", "locus", "origin", "plausible", "plausibility_note", "dedup_key", "evidence"]),
     }
     if properties is not None:

@@ -84,12 +84,13 @@ def review_kinds(unhandled: DataFrame, claims: DataFrame, unresolved: DataFrame,
     unhandled: label, status, n_rows; unresolved: name, n; references: ref_number, doi, title, title_agreement.
     """
     one = F.lit(1).alias("rows_affected")
-    said = F.format_string("%s %s = %s %s: %s", "mixture", "property", F.col("value").cast("string"), F.coalesce("unit", F.lit("")), "plausibility_note")
-    doubtful = F.format_string("ref %s %s: title agreement %s -- %s", F.col("ref_number").cast("string"), F.coalesce("doi", F.lit("")), F.col("title_agreement").cast("string"), F.substring("title", 1, 60))
-    claimed = F.format_string("%s %s = %s", F.array_join("components", "; "), "property", F.col("value").cast("string"))
+    number = lambda c: F.col(c).cast("string")
+    said = F.concat_ws(" ", F.concat("mixture", F.lit(",")), "property", number("value"), "unit", F.concat(F.lit("("), "plausibility_note", F.lit(")")))
+    doubtful = F.concat_ws(" ", F.lit("reference"), number("ref_number"), "doi", F.lit("agrees by"), number("title_agreement"), F.lit("with its title:"), F.substring("title", 1, 60))
+    claimed = F.concat_ws(" ", F.concat(F.array_join("components", "; "), F.lit(",")), "property", number("value"))
     return (
         (1, "table not extracted", unhandled.select(F.concat_ws(": ", F.coalesce("label", "table_id"), "status").alias("detail"), F.coalesce("n_rows", F.lit(0)).alias("rows_affected"), "paper_key")),
-        (2, "unresolved abbreviation", unresolved.select(F.format_string("'%s': add it to the alias file if the paper defines it", "name").alias("detail"), F.col("n").alias("rows_affected"))),
+        (2, "unresolved abbreviation", unresolved.select(F.concat("name", F.lit(" is in no table and no alias file")).alias("detail"), F.col("n").alias("rows_affected"))),
         (3, "implausible value", measurements.filter("not plausible").select(said.alias("detail"), one, "paper_key")),
         (4, "doubtful Crossref match", references.filter("title_agreement < 0.5").select(doubtful.alias("detail"), one, "paper_key")),
         (5, "prose value not in the text", claims.filter("status = 'unverified'").select(claimed.alias("detail"), one, "paper_key")),

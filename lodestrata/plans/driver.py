@@ -6,6 +6,7 @@ has no DOI stops the run unless errors are passed over; then it and any step tha
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -28,9 +29,9 @@ class Report:
     failed: list[tuple[str, str]] = field(default_factory=list)
 
 
-def _stored(spark: SparkSession, base: str, kind: str, like: DataFrame) -> DataFrame:
-    """A kind's rows in the store, or none in the shape of like."""
-    return store.read_all(spark, base, kind) if store.exists(spark, base, kind) else like.limit(0)
+def _stored(spark: SparkSession, base: str, kind: str, like: Callable[[], DataFrame]) -> DataFrame:
+    """A kind's rows in the store, or none in the shape of what like gives."""
+    return store.read_all(spark, base, kind) if store.exists(spark, base, kind) else like().limit(0)
 
 
 def run(
@@ -45,39 +46,41 @@ def run(
     if bad and not continue_on_error:
         raise ValueError("; ".join(f"{r['slug']}: {r['reason']}" for r in bad))
     report.failed += [(r["slug"], r["reason"]) for r in bad]
-    known = store.read_all(spark, base, "mixtures") if store.exists(spark, base, "mixtures") else None
     cut, drop = store.cutter(base)
-    out = pipeline.run(parsed, inputs, every_section=every_section, known=known, cut=cut)
-    slugs = out.papers.select("slug", "paper_key")
-    kinds = out.outputs()
+
+    @functools.cache
+    def out() -> pipeline.Tables:
+        """What the documents yield: derived when the first step asks for it."""
+        known = store.read_all(spark, base, "mixtures").select("paper_key", "table_pos", "source_row", "components") if store.exists(spark, base, "mixtures") else None
+        return pipeline.run(parsed, inputs, every_section=every_section, known=None if known is None else cut(known, "known"), cut=cut)
+
+    def kind(name: str) -> DataFrame:
+        return _stored(spark, base, name, lambda: out().outputs()[name])
 
     def put(*names: str) -> Callable[[], None]:
         def act() -> None:
             for name in names:
-                store.write(kinds[name], base, name, slugs)
+                store.write(out().outputs()[name], base, name, out().papers.select("slug", "paper_key"))
 
         return act
 
     def components() -> None:
-        store.write_corpus(out.components, base, "components")
-        store.write_corpus(out.component_properties, base, "component_properties")
+        store.write_corpus(out().components, base, "components")
+        store.write_corpus(out().component_properties, base, "component_properties")
 
     def validate() -> None:
-        measured = _stored(spark, base, "measurements", kinds["measurements"])
-        claims, refs = _stored(spark, base, "sections_llm", kinds["sections_llm"]), _stored(spark, base, "references", kinds["references"])
-        unhandled = _stored(spark, base, "tables_unhandled", kinds["tables_unhandled"])
-        here = measured.join(slugs.select("paper_key"), "paper_key", "left_semi")
+        measured, claims, refs, unhandled = (kind(k) for k in ("measurements", "sections_llm", "references", "tables_unhandled"))
+        here = measured.join(xml.papers(xml.accepted(parsed)).select("paper_key"), "paper_key", "left_semi")
         answers = inputs.answers if inputs.answers is not None else spark.createDataFrame([], "paper_key string, correct string")
-        store.write_corpus(quality.verdict(here, out.fidelity(here), answers), base, "acceptance")
+        store.write_corpus(quality.verdict(here, out().fidelity(here), answers), base, "acceptance")
         store.write_corpus(quality.duplicates(measured, ["dedup_key"], F.col("value"), F.col("paper_key"), F.col("row_id")), base, "duplicates")
         store.write_corpus(quality.review_queue(*quality.review_kinds(unhandled, claims, prose.unresolved_names(claims), measured, refs)), base, "review_queue")
-        store.write_corpus(out.invariants(), base, "invariants")
+        store.write_corpus(out().invariants(), base, "invariants")
 
     def load_graph() -> None:
-        told = [_stored(spark, base, kind, kinds[kind]) for kind in ("mixtures", "measurements", "references", "sections_llm", "papers")]
-        components = _stored(spark, base, "components", out.components)
-        properties = _stored(spark, base, "component_properties", out.component_properties)
-        nodes, relations = graph.load(told[0], told[1], told[2], components, told[3], told[4], properties, with_prose)
+        components = _stored(spark, base, "components", lambda: out().components)
+        properties = _stored(spark, base, "component_properties", lambda: out().component_properties)
+        nodes, relations = graph.load(kind("mixtures"), kind("measurements"), kind("references"), components, kind("sections_llm"), kind("papers"), properties, with_prose)
         store.write_corpus(graph.long_nodes(nodes), base, "graph_nodes")
         store.write_corpus(relations, base, "graph_relations")
 
@@ -87,7 +90,7 @@ def run(
         "table": put("mixtures", "measurements", "skipped_rows", "tables_unhandled"),
         "figures": put("figures"),
         "text": put("sections_llm"),
-        "aliases": lambda: store.write_corpus(out.aliases_found, base, "aliases"),
+        "aliases": lambda: store.write_corpus(out().aliases_found, base, "aliases"),
         "components": components,
         "validate": validate,
         "graph": load_graph,

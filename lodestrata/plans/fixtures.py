@@ -606,10 +606,10 @@ def q53_component_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("""
 SELECT 1 AS priority, 'table not extracted' AS kind, concat(p_brand, ': ', p_type) AS detail, p_size::BIGINT AS rows_affected, p_partkey::VARCHAR AS paper_key FROM part WHERE p_size < 10
-UNION ALL SELECT 2, 'unresolved abbreviation', concat(chr(39), r_name, chr(39), ': add it to the alias file if the paper defines it'), r_regionkey::BIGINT, '' FROM region
-UNION ALL SELECT 3, 'implausible value', concat(c_name, ' Density = ', c_nationkey, ' C: ', c_mktsegment), 1, c_custkey::VARCHAR FROM customer WHERE c_acctbal < 0
-UNION ALL SELECT 4, 'doubtful Crossref match', concat('ref ', s_suppkey, ' ', s_name, ': title agreement 0.25 -- ', substr(s_name, 1, 60)), 1, 's' FROM supplier WHERE s_acctbal < 1000
-UNION ALL SELECT 5, 'prose value not in the text', concat(n_name, ' Viscosity = ', n_nationkey), 1, n_regionkey::VARCHAR FROM nation WHERE n_nationkey < 12
+UNION ALL SELECT 2, 'unresolved abbreviation', concat(r_name, ' is in no table and no alias file'), r_regionkey::BIGINT, '' FROM region
+UNION ALL SELECT 3, 'implausible value', concat(c_name, ', Density ', c_nationkey, ' C (', c_mktsegment, ')'), 1, c_custkey::VARCHAR FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT 4, 'doubtful Crossref match', concat('reference ', s_suppkey, ' ', s_name, ' agrees by 0.25 with its title: ', substr(s_name, 1, 60)), 1, 's' FROM supplier WHERE s_acctbal < 1000
+UNION ALL SELECT 5, 'prose value not in the text', concat(n_name, ', Viscosity ', n_nationkey), 1, n_regionkey::VARCHAR FROM nation WHERE n_nationkey < 12
 """)
 def q54_review_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What people have to look at, by kind and urgency."""

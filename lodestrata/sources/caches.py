@@ -44,6 +44,12 @@ def compounds(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("lookup_status", F.when(stale, "stale").otherwise(F.col("lookup_status")))
 
 
+def profiles(spark: SparkSession, path: str, paper_key: str, profile: str) -> DataFrame:
+    """paper_key, table_id, card_hash, source and profile (of the given type) of a file of table profiles: a JSON map by table."""
+    rows = json_map(spark, path, "table_id", f"struct<card_hash:string,source:string,profile:{profile}>")
+    return rows.select(F.lit(paper_key).alias("paper_key"), "table_id", "card_hash", F.coalesce("source", F.lit("llm")).alias("source"), "profile").filter("profile is not null")
+
+
 #: Routes to a document, in the order in which they are tried; an item identifier has the publisher's alone.
 ROUTES = ("crossref", "elsevier", "unpaywall")
 

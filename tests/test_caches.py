@@ -5,7 +5,9 @@ import json
 from pyspark.sql import functions as F
 
 from lodestrata.functions import units
+from lodestrata.operators import profile
 from lodestrata.sources import caches
+from tests import documents as docs
 
 
 def test_csv(spark, tmp_path):
@@ -32,6 +34,14 @@ def test_compounds(spark, tmp_path):
     assert {r["name"]: r["lookup_status"] for r in caches.compounds(spark, str(path)).collect()} == {"Urea": "ok", "Old": "stale", "None": "not_found"}
 
 
+def test_profiles(spark, tmp_path):
+    path = tmp_path / "p.json"
+    path.write_text(json.dumps({"t1": {"card_hash": "h", "source": "human", "profile": docs.PROFILE}, "t2": {"card_hash": "g", "profile": docs.PROFILE}, "t3": {"card_hash": "x"}}))
+    got = {r["table_id"]: r for r in caches.profiles(spark, str(path), "p", profile.PROFILE).collect()}
+    assert {k: (r["paper_key"], r["card_hash"], r["source"]) for k, r in got.items()} == {"t1": ("p", "h", "human"), "t2": ("p", "g", "llm")}
+    assert got["t1"]["profile"]["columns"][3]["property"] == "Density" and got["t1"]["profile"]["footnote_markers"][0]["temperature_C"] == 30.0
+
+
 def test_fetched(spark):
     whole, stub = b"<doc><ce:sections>" + b"x" * 30_000, b"<doc/>"
     rows = [("10.1/a", "crossref", 200, stub), ("10.1/a", "elsevier", 200, whole), ("10.1/a", "unpaywall", 200, whole), ("10.1/b", "crossref", 403, None), ("S0001", "elsevier", 200, whole), ("S0001", "crossref", 200, whole), ("10.1/c", "crossref", 200, b"y" * 30_000)]

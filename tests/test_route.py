@@ -191,7 +191,7 @@ def test_quality(route):
     assert [r["priority"] for r in queue] == sorted(r["priority"] for r in queue)
     kinds = {r["priority"]: r["kind"] for r in queue}
     assert kinds == {1: "table not extracted", 2: "unresolved abbreviation", 3: "implausible value", 5: "prose value not in the text"}
-    assert {r["detail"].split(":")[0] for r in queue if r["priority"] == 2} == {"'Unknownium'"}
+    assert {r["detail"].split(" ")[0] for r in queue if r["priority"] == 2} == {"Unknownium"}
     assert all(r["paper_key"] for r in queue if r["priority"] != 2) and {r["verdict"] for r in queue} == {""}
     answers = route.papers.sparkSession.createDataFrame([("10.1000/one", "yes")], "paper_key string, correct string")
     verdict = {r["paper_key"]: r for r in quality.verdict(route.measurements, route.fidelity(), answers, sample=1, most=0.3).collect()}
@@ -285,6 +285,7 @@ def test_graph_of_all_routes(spark, route):
     assert all(graph.unique(df).isEmpty() for df in found.values())
     # One review node for each paper that was read, the bibliography's works, and edges only between nodes.
     assert {k for k, r in rows["Paper"].items() if r["role"] == "review"} == {r["paper_key"] for r in route.papers.collect()}
+    assert rows["Paper"]["10.1000/one"]["journal"] == "J. Test" and rows["Paper"]["10.5/a"]["authors"] == "A. Smith; B. Roe" and rows["Paper"]["10.5/a"]["match_score"] == 90.0
     every = {k for nodes in rows.values() for k in nodes}
     assert all(src in every and dst in every for src, _, dst in edges)
     # The accepted claim is in the graph with its sentence; tables keep the mixture that both name.
