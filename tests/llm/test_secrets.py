@@ -78,7 +78,7 @@ def test_many_secrets_in_one_text(spark):
     assert rows[2]["n_assign"] == 0
     clean = {r["doc_id"]: r["text"] for r in secrets.redacted(df).collect()}
     assert clean == {1: "é [SECRET] x" * n, 2: "plain"}
-    assert time.monotonic() - began < 60
+    assert time.monotonic() - began < 240
 
 
 def test_redaction_across_blocks(spark):
