@@ -8,15 +8,17 @@ sets into buckets; at similarity 0.75 two sets share none of the 32 default buck
 Buckets only propose. Every link is confirmed on the full sets:
 
 1. Texts with one set are one class, found by a 128-bit fingerprint; from here on only classes count.
-2. Each class is held against the bucket's class of least and of greatest id. That is linear in the bucket, and
-   settles buckets of up to three classes altogether.
+2. Each class is held against the bucket's class of least and of greatest id, first against the one it shares most
+   bands with, then against those that still are in another component. That is linear in the bucket, and settles
+   buckets of up to three classes altogether.
 3. Classes linked so far form components. A larger bucket that still holds several components goes, with its full
    sets, to tasks over pairs of blocks of about ``block`` classes each, one of them of classes outside the bucket's
    largest component: so the largest is copied once for each block outside it, and not at all against itself. There
    each class outside the largest is held against all classes of both blocks at once by counting shared runs. Nothing
    is capped: pairs within a component are skipped because they cannot change it.
 
-Components come from min-label propagation with pointer jumping; no links or labels reach the driver. Where rows meet
+Components come from min-label propagation with pointer jumping; links found later join components, not classes, and
+cost no round over the earlier ones. No links or labels reach the driver. Where rows meet
 by a bucket, a hub, a label or a fingerprint that a large share of them may have, ``_skew`` deals them over several tasks.
 
 Defined results: a null or empty text, or one without words, has an empty set, is linked with nothing and is its
@@ -141,6 +143,24 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of the pairs (a, b; a written table), those of different components, and these: (a, b, la, lb)."""
+    hubs = _skew.heavy(pairs, "b")
+    left = _skew.join(pairs.select("a", "b"), labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left")
+    both = _skew.join(left, labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left", hot=hubs, by=("a",))
+    return both.select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")).filter("la != lb")
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links (a, b; a written table): components of the components that the links join."""
+    if links.isEmpty():
+        return labels
+    tops = components(_scratch.table(_apart(links, labels).select("la", "lb").distinct(), "joined"), "la", "lb")
+    up = _skew.join(labels, tops.select(F.col("id").alias("label"), F.col("label").alias("top")), "label", "left", by=("id",))
+    # Ids without a label so far are their own component, so they are among the tops' ids.
+    return _scratch.table(up.select("id", F.coalesce("top", "label").alias("label")).unionByName(tops).distinct(), "labels")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b), those with 100 * intersection >= percent * union of their full sets."""
     size, other = F.size("sa"), F.size("sb")
@@ -194,21 +214,29 @@ def near_links(sketch: DataFrame, docs: DataFrame, n: int = N_WORDS, percent: in
     shape = F.sum(F.xxhash64("own.id").cast("decimal(38,0)")).alias("shape")
     buckets = seats.groupBy("bucket").agg(F.count("*").alias("n"), F.min("own").alias("low"), F.max("own").alias("high"), shape).filter("n > 1")
     # Of the buckets with the same members one is enough.
-    buckets = _scratch.table(buckets.groupBy("n", "low", "high", "shape").agg(F.min("bucket").alias("bucket")).drop("shape"), "buckets")
+    buckets = _scratch.table(buckets.groupBy("n", "low", "high", "shape").agg(F.min("bucket").alias("bucket"), F.count("*").alias("bands")).drop("shape"), "buckets")
     total = seats.count()
     hot = [r[0] for r in buckets.filter(F.col("n") * _skew.HOT >= total).select("bucket").limit(_skew.HOT).collect()]
-    seats = _scratch.table(_skew.join(seats, buckets, "bucket", hot=hot).select("own.id", "own.runs", "bucket", "n", "low", "high"), "seats")
-    pairs = seats.select("id", "runs", F.explode(F.array("low", "high")).alias("hub")).filter("id != hub.id")
+    seats = _scratch.table(_skew.join(seats, buckets, "bucket", hot=hot).select("own.id", "own.runs", "bucket", "n", "bands", "low", "high"), "seats")
+    pairs = seats.select("id", "runs", "bands", F.explode(F.array("low", "high")).alias("hub")).filter("id != hub.id")
     if not repeated:
         pairs = pairs.filter((100 * F.col("runs") >= percent * F.col("hub.runs")) & (100 * F.col("hub.runs") >= percent * F.col("runs")))
-    pairs = _scratch.table(pairs.select(F.greatest("id", "hub.id").alias("a"), F.least("id", "hub.id").alias("b")).distinct(), "pairs")
+    # A class's hubs (two a band at most), that of most common bands first, ties to the smaller id.
+    hubs = pairs.groupBy("id", F.col("hub.id").alias("hub")).agg(F.sum("bands").alias("bands")).groupBy("id")
+    hubs = hubs.agg(F.sort_array(F.collect_list(F.struct("bands", F.bitwise_not("hub").alias("down"), "hub")), False).alias("hubs"))
+    pairs = hubs.select("id", F.posexplode("hubs.hub").alias("turn", "hub")).groupBy(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b"))
+    pairs = _scratch.table(pairs.agg(F.min("turn").alias("turn")), "pairs")
     met = seats.filter("n > 3").select("id").union(pairs.select("a")).union(pairs.select("b")).distinct()
     texts = docs.select("doc_id", "text").join(met.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
     sets = _scratch.table(full_sets(texts, n), "sets")
     sets = sets.dropDuplicates() if repeated else sets
-    links = _confirmed(pairs, sets, percent)
+    links = _confirmed(pairs.filter("turn = 0").select("a", "b"), sets, percent)
     links = _scratch.table(links.unionByName(_shared_docs(own, classes)).distinct() if repeated else links, "confirmed")
     labels = components(links)
+    # Pairs within a component cannot change it.
+    rest = _scratch.table(_apart(pairs.filter("turn > 0"), labels).select("a", "b"), "rest")
+    if not rest.isEmpty():
+        labels = merged(labels, _scratch.table(_confirmed(rest, sets, percent), "confirmed"))
 
     seen = seats.filter("n > 3").select("id", "bucket").distinct().join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     seen = _scratch.table(seen, "seen")
@@ -231,9 +259,7 @@ def near_links(sketch: DataFrame, docs: DataFrame, n: int = N_WORDS, percent: in
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     more = _scratch.table(seen.groupBy("bucket", "i", "j").applyInPandas(settle, "a long, b long"), "more")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
-    return classes, labels
+    return classes, merged(labels, more)
 
 
 def near_duplicates(docs: DataFrame, n: int = N_WORDS, permutations: int = PERMUTATIONS, rows: int = ROWS, percent: int = PERCENT) -> DataFrame:

@@ -51,6 +51,42 @@ def test_a_group_without_a_hub(spark):
     assert got == by_brute_force(docs)
 
 
+def test_a_group_of_near_copies_needs_about_one_pair_and_link_a_class(spark, monkeypatch):
+    """Pairs within a component cost neither a comparison of sets nor a round over their links."""
+    rng = np.random.default_rng(11)
+    base, docs, count = [f"w{i}" for i in range(200)], [], {"pairs": 0, "links": 0}
+    for i in range(120):
+        text = list(base)
+        at = int(rng.integers(0, 195))
+        text[at : at + 3] = [f"n{i}a", f"n{i}b", f"n{i}c"]
+        docs.append((i, " ".join(text)))
+    confirmed, components = dedup._confirmed, dedup.components
+
+    def counted(name, f):
+        def run(rows, *args):
+            count[name] += rows.count()
+            return f(rows, *args)
+
+        return run
+
+    monkeypatch.setattr(dedup, "_confirmed", counted("pairs", confirmed))
+    monkeypatch.setattr(dedup, "components", counted("links", components))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in dedup.near_duplicates(df).collect()}
+    assert got == by_brute_force(docs) and {c for _, c in got.values()} == {0}
+    assert count["pairs"] <= 1.5 * len(docs) and count["links"] <= 1.5 * len(docs)
+
+
+def test_later_links_join_components(spark):
+    rng = np.random.default_rng(4)
+    links = [tuple(map(int, rng.integers(0, 300, 2))) for _ in range(200)]
+    first, second = (spark.createDataFrame(part, "a long, b long") for part in (links[:90], links[90:]))
+    want = {r["id"]: r["label"] for r in dedup.components(first.union(second)).collect()}
+    for given in (second, second.union(first), second.limit(0)):
+        got = {r["id"]: r["label"] for r in dedup.merged(dedup.components(first), given).collect()}
+        assert got == (want if given.count() else {r["id"]: r["label"] for r in dedup.components(first).collect()})
+
+
 def test_block_links_are_exact():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 1 << 40, 100)
