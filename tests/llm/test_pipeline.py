@@ -1,7 +1,7 @@
 """The pipeline's stages on their own inputs, and the registered queries."""
 
 import corpus_pipeline
-from lodestrata.llm import _scratch, queries
+from lodestrata.llm import _scratch, dedup, queries
 
 
 def test_stages(spark, sf):
@@ -31,6 +31,22 @@ def test_stages_on_an_empty_table(spark, odd, sf):
         assert out.count() == 0 and (name == corpus_pipeline.STAGES[-1][0] or out.columns == odd.columns)
 
 
+def test_near_dedup_compares_a_group_once(spark, monkeypatch):
+    """Near copies, with a repeated doc_id: about one pair of sets for each text, and one document is left."""
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*words[:i], f"n{i}", *words[i + 1 :]]) for i in range(0, 200, 2)]
+    docs = spark.createDataFrame([(i // 2 if i < 2 else i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    pairs, confirmed = [], dedup._confirmed
+
+    def counted(rows, *args):
+        pairs.append(rows.count())
+        return confirmed(rows, *args)
+
+    monkeypatch.setattr(dedup, "_confirmed", counted)
+    kept = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    assert [r["doc_id"] for r in kept] == [0] and sum(pairs) <= 1.5 * len(texts)
+
+
 def test_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
     assert set(queries.oracle_sql()) <= set(queries.queries())
